@@ -23,18 +23,22 @@ def _between(start: str, end: str, column: str = _DAY) -> Column:
     return (F.col(column) >= F.lit(start).cast("date")) & (F.col(column) < F.lit(end).cast("date"))
 
 
+def _of_contract(contract: str | None) -> Column:
+    return F.lit(True) if contract is None else F.col("termo") == str(contract)
+
+
 def month_spend(
     expenses: DataFrame,
-    contract: str,
+    contract: str | None,
     start: str,
     end: str,
     codes: Sequence[str] = S.PERSONNEL_CODES,
     words: Sequence[str] = (S.CHARGES, S.SALARY_PAYMENT, S.VACATION),
 ) -> DataFrame:
-    """Personnel spend of one contract in a date range, as Brazilian money text."""
+    """Personnel spend in a date range as Brazilian money text, of one contract or of each."""
     personnel = F.col("rubrica").isin(*codes) | text.like_any(F.col(_TEXT), words)
     return (
-        expenses.filter((F.col("termo") == str(contract)) & personnel & _between(start, end))
+        expenses.filter(_of_contract(contract) & personnel & _between(start, end))
         .groupBy("termo")
         .agg(F.sum("valor").alias("total"))
         .select("termo", money.format_brl(F.col("total")).alias("total_gasto_pessoal"))
@@ -43,15 +47,13 @@ def month_spend(
 
 def month_detail(
     expenses: DataFrame,
-    contract: str,
+    contract: str | None,
     start: str,
     end: str,
     codes: Sequence[str] = S.PERSONNEL_CODES,
 ) -> DataFrame:
-    """The personnel expenses of one contract in a date range."""
-    return expenses.filter(
-        (F.col("termo") == str(contract)) & F.col("rubrica").isin(*codes) & _between(start, end)
-    )
+    """The personnel expenses of one contract, or of all, in a date range."""
+    return expenses.filter(_of_contract(contract) & F.col("rubrica").isin(*codes) & _between(start, end))
 
 
 def spend_matrix(
@@ -96,9 +98,7 @@ def detail_rows(
     without: Sequence[str] = (),
 ) -> DataFrame:
     """Expenses of a contract or budget line whose description has and has not some words."""
-    test = F.lit(True)
-    if contract is not None:
-        test = test & (F.col("termo") == str(contract))
+    test = _of_contract(contract)
     if line is not None:
         test = test & (F.col("id_termo_rubrica") == line)
     for word in containing:
@@ -117,31 +117,31 @@ IRRF = "RECOLHIMENTO IRRF"
 FGTS = "REEMBOLSO RECOLHIMENTO FGTS"
 
 
-def terminations(expenses: DataFrame, line: str) -> DataFrame:
+def terminations(expenses: DataFrame, line: str | None = None) -> DataFrame:
     return detail_rows(expenses, line=line, containing=[TERMINATION])
 
 
-def salaries(expenses: DataFrame, line: str) -> DataFrame:
+def salaries(expenses: DataFrame, line: str | None = None) -> DataFrame:
     return detail_rows(expenses, line=line, containing=[S.SALARY_PAYMENT])
 
 
-def inss_on_13th(expenses: DataFrame, line: str) -> DataFrame:
+def inss_on_13th(expenses: DataFrame, line: str | None = None) -> DataFrame:
     return detail_rows(expenses, line=line, containing=[INSS_13TH])
 
 
-def fgts_on_13th(expenses: DataFrame, contract: str) -> DataFrame:
+def fgts_on_13th(expenses: DataFrame, contract: str | None = None) -> DataFrame:
     return detail_rows(expenses, contract=contract, containing=[SALARY_13TH])
 
 
-def inss(expenses: DataFrame, line: str) -> DataFrame:
+def inss(expenses: DataFrame, line: str | None = None) -> DataFrame:
     return detail_rows(expenses, line=line, containing=[INSS], without=[INSS_13TH])
 
 
-def irrf(expenses: DataFrame, line: str) -> DataFrame:
+def irrf(expenses: DataFrame, line: str | None = None) -> DataFrame:
     return detail_rows(expenses, line=line, containing=[IRRF])
 
 
-def fgts(expenses: DataFrame, contract: str) -> DataFrame:
+def fgts(expenses: DataFrame, contract: str | None = None) -> DataFrame:
     return detail_rows(expenses, contract=contract, containing=[FGTS], without=[SALARY_13TH])
 
 

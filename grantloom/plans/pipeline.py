@@ -1,0 +1,131 @@
+"""The full run: extract, compare, preview, apply, refresh."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import settings as S
+from ..functions.dates import AsOf
+from ..operators import apply, changes, reconcile
+from ..sources import reports, staging, workbooks
+from . import balances, extract
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """The stored state."""
+
+    expenses: DataFrame
+    contracts: DataFrame
+    lines: DataFrame
+
+
+@dataclass(frozen=True)
+class ChangeSets:
+    """What a run would change."""
+
+    expenses: DataFrame
+    income: DataFrame
+    refunds: DataFrame
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run found and left behind. ``ledger`` is the old state when not approved."""
+
+    changes: ChangeSets
+    preview: DataFrame
+    counts: DataFrame
+    rejected: DataFrame
+    files: DataFrame
+    ledger: Ledger
+    line_log: DataFrame | None = None
+    contract_log: DataFrame | None = None
+
+
+def find_changes(expenses: DataFrame, texts: DataFrame, ledger: Ledger) -> ChangeSets:
+    """Compare clean expenses and report texts with the ledger."""
+    return ChangeSets(
+        changes.detect_changes(expenses, ledger.expenses),
+        reconcile.reconcile_income(reports.contract_summary(texts), ledger.contracts),
+        reconcile.reconcile_lines(reports.line_summary(texts), ledger.contracts, ledger.lines),
+    )
+
+
+def apply_changes(ledger: Ledger, found: ChangeSets, order: tuple[str, ...] = ()) -> Ledger:
+    """The ledger after all three change sets."""
+    return Ledger(
+        apply.apply_expense_changes(ledger.expenses, found.expenses, order=order),
+        apply.apply_income(ledger.contracts, found.income),
+        apply.apply_refunds(ledger.lines, found.refunds),
+    )
+
+
+def refresh(ledger: Ledger, as_of: AsOf = None, compat_text_pct: bool = False) -> Ledger:
+    """The ledger with refreshed budget lines and contracts."""
+    lines = balances.refresh_lines(ledger.lines, ledger.contracts, ledger.expenses, as_of)
+    contracts = balances.refresh_contract_balances(ledger.contracts, lines, as_of, compat_text_pct)
+    return Ledger(ledger.expenses, contracts, lines)
+
+
+def run(
+    spark: SparkSession,
+    landing: str,
+    ledger: Ledger,
+    out: str,
+    run_id: str,
+    as_of: AsOf = None,
+    approved: bool = False,
+    mapping: Mapping[str, str] = S.CONTRACT_BY_SIT,
+) -> Run:
+    """One run over the files in ``landing``; every table it makes goes below ``out``.
+
+    Without ``approved`` it stops after the preview. Change sets and new tables are written
+    once and read back, so nothing is worked out twice and a lost executor only costs the
+    stage in progress.
+    """
+    raw = staging.write_run(workbooks.read_workbooks(spark, landing), out, "planilhas", run_id)
+    texts = reports.read_texts(spark, landing)
+    order = extract.PROVENANCE
+    clean = extract.consolidate_expenses(raw, mapping, provenance=True)
+    keyed, keyless = changes.split_keyless(clean)
+    compared = staging.write_run(changes.classify(keyed, ledger.expenses), out, "comparacao", run_id)
+    income = reconcile.reconcile_income(reports.contract_summary(texts), ledger.contracts)
+    refunds = reconcile.reconcile_lines(reports.line_summary(texts), ledger.contracts, ledger.lines)
+    found = ChangeSets(
+        compared.filter(compared[changes.ACTION] != S.IGNORE),
+        staging.write_run(income, out, "update_termos", run_id),
+        staging.write_run(refunds, out, "update_rubricas", run_id),
+    )
+    files = extract.workbook_summary(raw, mapping)
+    preview = changes.preview_run(found.expenses, found.income, found.refunds)
+    counts = changes.count_actions(compared)
+    if not approved:
+        return Run(found, preview, counts, keyless, files, ledger)
+
+    after = apply_changes(ledger, found, order)
+    after = Ledger(
+        staging.write_run(after.expenses, out, "despesas", run_id), after.contracts, after.lines
+    )
+    # the refreshed lines feed both the contracts and the log
+    lines = staging.write_run(
+        balances.refresh_lines(after.lines, after.contracts, after.expenses, as_of), out, "rubricas", run_id
+    )
+    contracts = staging.write_run(
+        balances.refresh_contract_balances(after.contracts, lines, as_of), out, "termos", run_id
+    )
+    line_log = balances.line_change_log(after.lines, after.contracts, after.expenses, as_of)
+    contract_log = balances.contract_change_log(after.contracts, lines, as_of)
+    return Run(
+        found,
+        preview,
+        counts,
+        keyless,
+        files,
+        Ledger(after.expenses, contracts, lines),
+        staging.write_run(line_log, out, "log_rubricas", run_id),
+        staging.write_run(contract_log, out, "log_termos", run_id),
+    )

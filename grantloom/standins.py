@@ -12,7 +12,7 @@ from . import settings as S
 from .functions import money, text
 
 AS_OF = "2001-08-01"
-SEATS_AS_OF = "2001-02-10"
+SEATS_AS_OF = "2001-07-20"
 LOADED_BEFORE = "2001-01-01"
 
 JOBS_BY_MONTH = (
@@ -264,3 +264,49 @@ def report_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("modified"),
         content.alias("content"),
     )
+
+
+# contract number of the raw workbooks, one per priority; the last has no contract
+SIT_BY_PRIORITY = {"901": "11", "902": "12", "903": "13", "904": "14"}
+
+
+def class_text(c: Column) -> Column:
+    """Expense-type text per part type, mixing case and keywords."""
+    return _case(
+        c,
+        (
+            ("STANDARD", "Pessoal Civil"),
+            ("PROMO", "obrigações patronais"),
+            ("SMALL", "MATERIAIS DE CONSUMO e pessoal civil"),
+            ("MEDIUM", "Serviços de Terceiros"),
+            ("LARGE", "Diárias"),
+        ),
+    )
+
+
+def raw_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded workbook rows, one per order; the file goes by the priority."""
+    priority, day = F.col("o_orderpriority"), F.col("o_orderdate").cast("date")
+    number = F.left(priority, F.lit(1))
+    absent = F.when(priority == "2-HIGH", F.array(F.lit(S.H_DEBITED_ON[0]))).otherwise(F.array(F.lit(S.H_DEBITED_ON[1])))
+    bad_day = F.when(F.col("o_orderstatus") == "P", F.lit("31/02/2001")).otherwise(F.date_format(day, "dd/MM/yyyy"))
+    kind = F.when(priority == "3-MEDIUM", F.lit("sem código")).otherwise(F.lit("3.1.90.11.99 - pessoal civil"))
+    debit = F.date_format(F.date_add(day, 3), "yyyy-MM-dd HH:mm:ss")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("file:/landing/Despesas_SIT_90"), number, F.lit(".xlsx")).alias("source_file"),
+        F.col("o_orderdate").alias("modified"),
+        (F.col("o_orderkey") + F.lit(1)).alias("row_no"),
+        F.lit("ok").alias("file_status"),
+        absent.alias("absent"),
+        F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("\t")).alias(S.H_CODE),
+        kind.alias(S.H_TYPE),
+        F.concat(F.col("o_custkey").cast("string"), F.lit("-00")).alias(S.H_TAX_ID),
+        F.concat(F.lit("Pessoa "), F.col("o_custkey").cast("string"), F.lit("  ")).alias(S.H_PAYEE),
+        F.lit(None).cast("string").alias(S.H_EXPENSE_DOC),
+        F.concat(F.lit(" Pedido "), priority).alias(S.H_DESCRIPTION),
+        F.lit("TED").alias(S.H_PAYMENT_DOC),
+        bad_day.alias(S.H_PAID_ON),
+        F.when(priority != "2-HIGH", debit).alias(S.H_DEBITED_ON[0]),
+        F.when(priority == "2-HIGH", debit).alias(S.H_DEBITED_ON[1]),
+        money.format_brl(money.money(F.col("o_totalprice"))).alias(S.H_AMOUNT),
+    )
