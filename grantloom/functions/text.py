@@ -33,26 +33,29 @@ def fold_case(c: Column) -> Column:
     return F.upper(F.rtrim(c))
 
 
-def like_any(c: Column, words: Iterable[str]) -> Column:
-    """``c LIKE '%w1%' OR c LIKE '%w2%' ...`` without regard to case."""
-    tests = [contains(c, w) for w in words]
-    out = tests[0]
-    for test in tests[1:]:
-        out = out | test
-    return out
-
-
 def contains(c: Column, word: str) -> Column:
+    """``c LIKE '%word%'`` without regard to case."""
     return F.upper(c).contains(word.upper())
 
 
-def first_rule(c: Column, rules: Sequence[tuple[str, str]], default: str | None) -> Column:
-    """Label of the first rule whose word occurs in ``c``; the order of the rules matters."""
-    text = F.upper(c)
+def has_any(folded: Column, words: Iterable[str]) -> Column:
+    """Any of the words occurs in text that is upper case already."""
+    first, *rest = [folded.contains(w.upper()) for w in words]
+    for test in rest:
+        first = first | test
+    return first
+
+
+def has_rule(folded: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    return has_any(folded, [word for word, _ in rules])
+
+
+def first_rule(folded: Column, rules: Sequence[tuple[str, str]], default: str | None) -> Column:
+    """Label of the first rule whose word occurs in upper-case text; the order matters."""
     (word, label), *rest = rules
-    out = F.when(text.contains(word.upper()), F.lit(label))
+    out = F.when(folded.contains(word.upper()), F.lit(label))
     for word, label in rest:
-        out = out.when(text.contains(word.upper()), F.lit(label))
+        out = out.when(folded.contains(word.upper()), F.lit(label))
     return out.otherwise(F.lit(default))
 
 
@@ -61,7 +64,7 @@ def expense_class(
     rules: Sequence[tuple[str, str]] = S.EXPENSE_CLASSES,
     default: str = S.OTHER_CLASS,
 ) -> Column:
-    return first_rule(c, rules, default)
+    return first_rule(F.upper(c), rules, default)
 
 
 def tax_id(c: Column) -> Column:
@@ -99,16 +102,16 @@ def field(c: Column, index: int, sep: str = ";") -> Column:
     return F.get(F.split(c, sep, -1), F.lit(index))
 
 
-def days_phrase(c: Column) -> Column:
-    """The ``30 DIAS`` part of a vacation text, from the first dash to the word DIAS."""
-    start, end = F.instr(c, "-"), F.instr(F.upper(c), "DIAS")
+def days_phrase(c: Column, folded: Column) -> Column:
+    """The ``30 DIAS`` part of a vacation text; ``folded`` is the text in upper case."""
+    start, end = F.instr(folded, "-"), F.instr(folded, "DIAS")
     return F.when((start > 0) & (end > start), F.trim(c.substr(start + 1, end - start + 4)))
 
 
-def date_after(c: Column, marker: str) -> Column:
+def date_after(folded: Column, marker: str) -> Column:
     """Date written ``dd/MM/yy`` right after ``marker``; null when absent or no date."""
-    at = F.instr(F.upper(c), marker)
-    text = c.substr(at + F.lit(len(marker)), F.lit(8))
+    at = F.instr(folded, marker)
+    text = folded.substr(at + F.lit(len(marker)), F.lit(8))
     iso = F.concat(
         F.lit("20"), F.right(text, F.lit(2)), F.lit("-"), F.substring(text, 4, 2), F.lit("-"), F.left(text, F.lit(2))
     )

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions import money, text
 from ..operators import skew
+from ..operators.once import compute_once
 
 _TEXT = "descricao_despesa"
+_FOLDED = "__folded"
 _DAY = "data_debito_convenio"
 
 
@@ -23,6 +25,11 @@ def _between(start: str, end: str, column: str = _DAY) -> Column:
     return (F.col(column) >= F.lit(start).cast("date")) & (F.col(column) < F.lit(end).cast("date"))
 
 
+def _folded(df: DataFrame) -> DataFrame:
+    """Add the upper-case description, worked out once for all tests on it."""
+    return compute_once(df, _FOLDED, F.upper(_TEXT))
+
+
 def _of_contract(contract: str | None) -> Column:
     return F.lit(True) if contract is None else F.col("termo") == str(contract)
 
@@ -36,9 +43,10 @@ def month_spend(
     words: Sequence[str] = (S.CHARGES, S.SALARY_PAYMENT, S.VACATION),
 ) -> DataFrame:
     """Personnel spend in a date range as Brazilian money text, of one contract or of each."""
-    personnel = F.col("rubrica").isin(*codes) | text.like_any(F.col(_TEXT), words)
+    personnel = F.col("rubrica").isin(*codes) | text.has_any(F.col(_FOLDED), words)
     return (
-        expenses.filter(_of_contract(contract) & personnel & _between(start, end))
+        _folded(expenses.filter(_of_contract(contract) & _between(start, end)))
+        .filter(personnel)
         .groupBy("termo")
         .agg(F.sum("valor").alias("total"))
         .select("termo", money.format_brl(F.col("total")).alias("total_gasto_pessoal"))
@@ -69,16 +77,17 @@ def spend_matrix(
 
     Rows without a known job form a group of their own. ``contracts=None`` takes all.
     """
-    description = F.col(_TEXT)
-    wanted = F.col("rubrica").isin(*codes) & text.like_any(description, [w for w, _ in kinds]) & _between(start, end)
+    wanted = F.col("rubrica").isin(*codes) & _between(start, end)
     if contracts is not None:
         wanted = F.col("termo").isin(*[str(c) for c in contracts]) & wanted
+    folded = F.col(_FOLDED)
     grouped = (
-        expenses.filter(wanted)
+        _folded(expenses.filter(wanted))
+        .filter(text.has_rule(folded, kinds))
         .select(
             "termo",
-            text.first_rule(description, kinds, None).alias("tipo_despesa"),
-            text.first_rule(description, jobs, None).alias("cargo"),
+            text.first_rule(folded, kinds, None).alias("tipo_despesa"),
+            text.first_rule(folded, jobs, None).alias("cargo"),
             "cpf_cnpj",
             "valor",
         )
@@ -101,11 +110,12 @@ def detail_rows(
     test = _of_contract(contract)
     if line is not None:
         test = test & (F.col("id_termo_rubrica") == line)
+    words = F.lit(True)
     for word in containing:
-        test = test & text.contains(F.col(_TEXT), word)
+        words = words & F.col(_FOLDED).contains(word)
     for word in without:
-        test = test & ~text.contains(F.col(_TEXT), word)
-    return expenses.filter(test)
+        words = words & ~F.col(_FOLDED).contains(word)
+    return _folded(expenses.filter(test)).filter(words).drop(_FOLDED)
 
 
 # --- fixed values: words each detail report looks for ---------------------------------
@@ -152,34 +162,36 @@ def payee_search(expenses: DataFrame, word: str) -> DataFrame:
 
 def vacations(expenses: DataFrame, jobs: Sequence[tuple[str, str]] = S.VACATION_JOBS) -> DataFrame:
     """Vacation days, start and end read out of the description, by payee and start."""
-    description = F.col(_TEXT)
-    rows = expenses.filter(
-        text.contains(description, S.VACATION) & text.like_any(description, [w for w, _ in jobs])
-    ).select(
-        "favorecido",
-        text.first_rule(description, jobs, S.OTHER_JOB).alias("cargo"),
-        text.days_phrase(description).alias("dias_ferias"),
-        text.date_after(description, "GOZO DE ").alias("inicio_gozo"),
-        text.date_after(description, " A ").alias("fim_gozo"),
-        "termo",
+    folded = F.col(_FOLDED)
+    rows = (
+        _folded(expenses)
+        .filter(folded.contains(S.VACATION) & text.has_rule(folded, jobs))
+        .select(
+            "favorecido",
+            text.first_rule(folded, jobs, S.OTHER_JOB).alias("cargo"),
+            text.days_phrase(F.col(_TEXT), folded).alias("dias_ferias"),
+            text.date_after(folded, "GOZO DE ").alias("inicio_gozo"),
+            text.date_after(folded, " A ").alias("fim_gozo"),
+            "termo",
+        )
     )
     return skew.sort_rows(rows, "favorecido", "inicio_gozo")
 
 
 def instalments(expenses: DataFrame, jobs: Sequence[tuple[str, str]] = S.INSTALMENT_JOBS) -> DataFrame:
     """13th-salary instalments by contract, payee and instalment."""
-    description = F.col(_TEXT)
-    rows = expenses.filter(
-        text.contains(description, "13")
-        & text.like_any(description, [w for w, _ in S.INSTALMENTS])
-        & text.like_any(description, [w for w, _ in jobs])
-    ).select(
-        "favorecido",
-        text.first_rule(description, jobs, S.OTHER_JOB).alias("cargo"),
-        text.first_rule(description, S.INSTALMENTS, S.NO_INSTALMENT).alias("parcela"),
-        "valor",
-        "data_pagamento",
-        "termo",
+    folded = F.col(_FOLDED)
+    rows = (
+        _folded(expenses)
+        .filter(folded.contains("13") & text.has_rule(folded, S.INSTALMENTS) & text.has_rule(folded, jobs))
+        .select(
+            "favorecido",
+            text.first_rule(folded, jobs, S.OTHER_JOB).alias("cargo"),
+            text.first_rule(folded, S.INSTALMENTS, S.NO_INSTALMENT).alias("parcela"),
+            "valor",
+            "data_pagamento",
+            "termo",
+        )
     )
     return skew.sort_rows(rows, "termo", "favorecido", "parcela")
 

@@ -11,6 +11,7 @@ from .. import settings as S
 from ..functions import dates, text
 from ..functions.dates import AsOf
 from ..operators import skew
+from ..operators.once import compute_once
 
 # at most this many seats share an id range, so no task numbers more of one contract and job
 SEAT_RANGE = 100_000
@@ -90,13 +91,14 @@ def roster(
     ago, INDEFINIDO in between or without a date.
     """
     today = dates.as_of_date(as_of)
-    description = F.col("descricao_despesa")
+    folded = F.col("__folded")
     paid = (
-        expenses.filter(text.contains(description, word) & text.like_any(description, [w for w, _ in jobs]))
+        compute_once(expenses, "__folded", F.upper("descricao_despesa"))
+        .filter(folded.contains(word) & text.has_rule(folded, jobs))
         .select(
             "favorecido",
             "termo",
-            text.first_rule(description, jobs, S.OTHER_JOB).alias("cargo"),
+            text.first_rule(folded, jobs, S.OTHER_JOB).alias("cargo"),
             "data_debito_convenio",
         )
         .groupBy("favorecido", "termo", "cargo")

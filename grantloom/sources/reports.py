@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions import money, text
 from ..operators.dedup import last_per_key
+from ..operators.once import compute_once
 
 SIT, INCOME, TOTAL, EXPENSES = "sit", "income", "total", "expenses"
 ORDER = ("modified", "source_file", "pos")
@@ -53,19 +54,24 @@ def _kind(line: Column) -> Column:
 
 
 def _marks(texts: DataFrame) -> DataFrame:
-    """Add the lines of each report and its section marks to the file columns."""
+    """Add the lines of each report and its section marks to the file columns.
+
+    ``sits`` are the marks that give a contract number, ``live`` the other marks that stand
+    under a number.
+    """
     lines = F.transform(F.split("content", "\r\n|\n|\r"), text.strip)
-    marks = F.transform(
-        F.col("lines"),
-        lambda line, pos: F.struct(pos.alias("pos"), _kind(line).alias("kind"), text.field(line, 1).alias("second")),
+    kinds = F.transform(
+        F.col("lines"), lambda line, pos: F.struct(pos.alias("pos"), _kind(line).alias("kind"), line.alias("line"))
     )
-    return (
-        texts.withColumn("lines", lines)
-        .withColumn("marks", F.filter(marks, lambda m: m["kind"].isNotNull()))
-        .withColumn(
-            "sits", F.filter("marks", lambda m: (m["kind"] == SIT) & m["second"].isNotNull())
-        )
+    marks = F.transform(
+        F.filter(kinds, lambda m: m["kind"].isNotNull()),
+        lambda m: F.struct(m["pos"].alias("pos"), m["kind"].alias("kind"), text.field(m["line"], 1).alias("second")),
     )
+    sits = F.filter("marks", lambda m: (m["kind"] == SIT) & m["second"].isNotNull())
+    live = F.filter("marks", lambda m: (m["kind"] != SIT) & _number_before(m["pos"]).isNotNull())
+    out = compute_once(texts.select("source_file", "modified", "content"), "lines", lines).drop("content")
+    out = compute_once(out, "marks", marks)
+    return compute_once(compute_once(out, "sits", sits), "live", live)
 
 
 def _number_before(pos: Column) -> Column:
@@ -80,7 +86,6 @@ def _parsed(texts: DataFrame) -> DataFrame:
     The last contract number names the file. An income section ends at its first total; of
     several totals the last counts. The expense section, once begun, lasts to the end.
     """
-    live = F.filter("marks", lambda m: (m["kind"] != SIT) & _number_before(m["pos"]).isNotNull())
     flow = F.filter("live", lambda m: m["kind"].isin(INCOME, TOTAL))
     totals = F.filter(
         "flow",
@@ -89,19 +94,13 @@ def _parsed(texts: DataFrame) -> DataFrame:
         & m["second"].isNotNull(),
     )
     begins = F.filter("live", lambda m: m["kind"] == EXPENSES)
-    return (
-        _marks(texts)
-        .withColumn("live", live)
-        .withColumn("flow", flow)
-        .select(
-            "source_file",
-            "modified",
-            "lines",
-            "sits",
-            text.blank_to_null(F.try_element_at("sits", F.lit(-1))["second"]).alias("nro_sit"),
-            money.parse_brl(F.try_element_at(totals, F.lit(-1))["second"]).alias("rendimento_financeiro_total"),
-            F.get(begins, F.lit(0))["pos"].alias("expenses_from"),
-        )
+    found = F.struct(
+        text.blank_to_null(F.try_element_at("sits", F.lit(-1))["second"]).alias("nro_sit"),
+        money.parse_brl(F.try_element_at(totals, F.lit(-1))["second"]).alias("rendimento_financeiro_total"),
+        F.get(begins, F.lit(0))["pos"].alias("expenses_from"),
+    )
+    return compute_once(compute_once(_marks(texts), "flow", flow), "found", found).select(
+        "source_file", "modified", "lines", "sits", "found.*"
     )
 
 
@@ -116,22 +115,25 @@ def report_contracts(texts: DataFrame) -> DataFrame:
 
 def report_lines(texts: DataFrame) -> DataFrame:
     """Refund lines of every valid report: number, code, refund, key, file and position."""
-    line, fields = F.col("line"), F.split("line", ";", -1)
+    line, fields = F.col("line"), F.col("fields")
     code = text.strip(F.get(F.split(text.strip(F.get(fields, F.lit(0))), "-"), F.lit(0)))
-    return (
+    below = (
         _parsed(texts)
         .filter(F.col("nro_sit").isNotNull() & F.col("expenses_from").isNotNull())
         .select("source_file", "modified", "nro_sit", "sits", "expenses_from", F.posexplode("lines").alias("pos", "line"))
         .filter(
             (F.col("pos") > F.col("expenses_from"))
-            & _kind(line).isNull()
             & (F.length(line) > 0)
+            & _kind(line).isNull()
             & ~line.contains(S.MARK_TOTAL)
             & ~line.startswith(S.MARK_HEADER)
-            & (F.size(fields) >= 5)
-            & _number_before(F.col("pos")).isNotNull()
         )
-        .withColumn("rubrica", code)
+    )
+    rows = compute_once(below, "fields", F.split("line", ";", -1)).filter(
+        (F.size(fields) >= 5) & _number_before(F.col("pos")).isNotNull()
+    )
+    return (
+        compute_once(rows, "rubrica", code)
         .filter(F.length("rubrica") > 0)
         .select(
             "nro_sit",
@@ -174,10 +176,8 @@ def tagged_lines(texts: DataFrame) -> DataFrame:
     section = (
         F.when(begun, F.lit(EXPENSES)).when(previous == INCOME, F.lit(INCOME)).otherwise(F.lit("none"))
     )
-    live = F.filter("marks", lambda m: (m["kind"] != SIT) & _number_before(m["pos"]).isNotNull())
     return (
         _marks(texts)
-        .withColumn("live", live)
         .select("source_file", "sits", "live", F.posexplode("lines").alias("pos", "line"))
         .filter(F.length(line) > 0)
         .select("source_file", "pos", _number_before(pos).alias("nro_sit"), section.alias("section"), "line")
