@@ -14,6 +14,7 @@ from ..functions.dates import AsOf
 from ..operators import skew
 
 KEY = "id_termo_rubrica"
+BEFORE, REFRESHED = "saldo_anterior", "recalculada"
 
 
 def line_metrics(
@@ -57,20 +58,23 @@ def refresh_lines(
 
     Lines of unknown contracts keep their stored values.
     """
-    wanted = _refreshed(lines, contracts, expenses, as_of, **split)
-    return wanted.select(*lines.columns)
+    return refresh_lines_traced(lines, contracts, expenses, as_of, **split).select(*lines.columns)
 
 
 def line_change_log(
     lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
 ) -> DataFrame:
     """Balance before and after for every refreshed line, by line key."""
-    both = _refreshed(lines, contracts, expenses, as_of, **split).filter(F.col("__hit"))
+    return line_log(refresh_lines_traced(lines, contracts, expenses, as_of, **split))
+
+
+def line_log(traced: DataFrame) -> DataFrame:
+    """The change log held in the result of ``refresh_lines_traced``."""
     return skew.sort_rows(
-        both.select(
+        traced.filter(F.col(REFRESHED)).select(
             F.lit(S.LINE_LOG_TITLE).alias("TIPO"),
             F.col(KEY).alias("Id"),
-            F.col("__before").alias("SaldoAntigo"),
+            F.col(BEFORE).alias("SaldoAntigo"),
             F.col("saldo_atual").alias("SaldoNovo"),
             F.col("dias_restantes").alias("DiasRestantes"),
         ),
@@ -78,14 +82,18 @@ def line_change_log(
     )
 
 
-def _refreshed(
-    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf, **split: int
+def refresh_lines_traced(
+    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
 ) -> DataFrame:
+    """As ``refresh_lines``, with the balance before and whether the line was refreshed.
+
+    Written once, it yields both the new lines and their change log.
+    """
     metrics = line_metrics(lines, contracts, expenses, as_of, **split)
     new = metrics.select(
         KEY, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__m_{c}") for c in metrics.columns if c != KEY]
     )
-    joined = skew.lookup_join(lines, new, [KEY], "left", **split).withColumn("__before", F.col("saldo_atual"))
+    joined = skew.lookup_join(lines, new, [KEY], "left", **split).withColumn(BEFORE, F.col("saldo_atual"))
 
     planned, spend, burn = F.col("saldo_inicial_previsto"), F.col("__m_saldo_total_gasto"), F.col("__m_media_mensal_gastos")
     balance = (planned - spend + money.zero_if_null(F.col("valor_estornado"))).cast(money.WIDE)
@@ -105,7 +113,7 @@ def _refreshed(
     out = [
         F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in lines.columns
     ]
-    return joined.select(*out, "__before", hit.alias("__hit"))
+    return joined.select(*out, BEFORE, hit.alias(REFRESHED))
 
 
 def contract_metrics(lines: DataFrame, as_of: AsOf = None, compat_text_pct: bool = False) -> DataFrame:

@@ -110,14 +110,14 @@ def run(
     after = Ledger(
         staging.write_run(after.expenses, out, "despesas", run_id), after.contracts, after.lines
     )
-    # the refreshed lines feed both the contracts and the log
-    lines = staging.write_run(
-        balances.refresh_lines(after.lines, after.contracts, after.expenses, as_of), out, "rubricas", run_id
+    # the refreshed lines feed the contracts and the log
+    traced = staging.write_run(
+        balances.refresh_lines_traced(after.lines, after.contracts, after.expenses, as_of), out, "rubricas", run_id
     )
+    lines = traced.select(*after.lines.columns)
     contracts = staging.write_run(
         balances.refresh_contract_balances(after.contracts, lines, as_of), out, "termos", run_id
     )
-    line_log = balances.line_change_log(after.lines, after.contracts, after.expenses, as_of)
     contract_log = balances.contract_change_log(after.contracts, lines, as_of)
     return Run(
         found,
@@ -126,6 +126,6 @@ def run(
         keyless,
         files,
         Ledger(after.expenses, contracts, lines),
-        staging.write_run(line_log, out, "log_rubricas", run_id),
-        staging.write_run(contract_log, out, "log_termos", run_id),
+        balances.line_log(traced),
+        contract_log,
     )
