@@ -69,6 +69,18 @@ def count_actions(classified: DataFrame) -> DataFrame:
     return classified.groupBy(ACTION).agg(F.count(F.lit(1)).alias("registros"))
 
 
+def count_with_ignored(keyed: DataFrame, changes: DataFrame) -> DataFrame:
+    """Rows per action when only the change set was kept: what is left of ``keyed`` is IGNORE."""
+    rest = (
+        keyed.select(F.lit(1).alias("n"))
+        .unionByName(changes.select(F.lit(-1).alias("n")))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("registros"))
+        .filter(F.col("registros") > 0)
+        .select(F.lit(S.IGNORE).alias(ACTION), "registros")
+    )
+    return count_actions(changes).unionByName(rest)
+
+
 def preview(changes: DataFrame, order: Sequence[str] = (ACTION, fp.KEY), n: int = 3) -> DataFrame:
     """First ``n`` rows of a change set in a fixed order."""
     return changes.orderBy(*order).limit(n)

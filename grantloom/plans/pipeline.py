@@ -71,6 +71,26 @@ def refresh(ledger: Ledger, as_of: AsOf = None, compat_text_pct: bool = False) -
     return Ledger(ledger.expenses, contracts, lines)
 
 
+# --- fixed values: names under which the ledger's SQL knows its tables and views ------
+VIEW_EXPENSES = "despesas"
+VIEW_CONTRACTS = "termos"
+VIEW_LINES = "rubricas"
+VIEW_LINE_METRICS = "vw_rubricas_calc"
+VIEW_CONTRACT_METRICS = "vw_termos_calc"
+
+
+def register_views(ledger: Ledger, as_of: AsOf = None) -> None:
+    """Make the ledger and its two metric views available to ``spark.sql``."""
+    ledger.expenses.createOrReplaceTempView(VIEW_EXPENSES)
+    ledger.contracts.createOrReplaceTempView(VIEW_CONTRACTS)
+    ledger.lines.createOrReplaceTempView(VIEW_LINES)
+    balances.line_metrics(ledger.lines, ledger.contracts, ledger.expenses, as_of).createOrReplaceTempView(
+        VIEW_LINE_METRICS
+    )
+    metrics = balances.contract_metrics(ledger.lines, as_of).drop("valor_utilizado_rendimento")
+    metrics.createOrReplaceTempView(VIEW_CONTRACT_METRICS)
+
+
 def run(
     spark: SparkSession,
     landing: str,
@@ -92,17 +112,17 @@ def run(
     order = extract.PROVENANCE
     clean = extract.consolidate_expenses(raw, mapping, provenance=True)
     keyed, keyless = changes.split_keyless(clean)
-    compared = staging.write_run(changes.classify(keyed, ledger.expenses), out, "comparacao", run_id)
+    upload = staging.write_run(changes.detect_changes(keyed, ledger.expenses), out, "despesas_upload", run_id)
     income = reconcile.reconcile_income(reports.contract_summary(texts), ledger.contracts)
     refunds = reconcile.reconcile_lines(reports.line_summary(texts), ledger.contracts, ledger.lines)
     found = ChangeSets(
-        compared.filter(compared[changes.ACTION] != S.IGNORE),
+        upload,
         staging.write_run(income, out, "update_termos", run_id),
         staging.write_run(refunds, out, "update_rubricas", run_id),
     )
     files = extract.workbook_summary(raw, mapping)
     preview = changes.preview_run(found.expenses, found.income, found.refunds)
-    counts = changes.count_actions(compared)
+    counts = changes.count_with_ignored(keyed, upload)
     if not approved:
         return Run(found, preview, counts, keyless, files, ledger)
 

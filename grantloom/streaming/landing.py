@@ -18,6 +18,8 @@ from ..plans import extract
 from ..sources import staging, workbooks
 
 TABLE = "despesas"
+# the columns every binary file source has
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def batch_writer(
@@ -56,7 +58,7 @@ def landing_stream(
 
     Without ``files_per_batch`` that is one batch, so the ledger is written once per call.
     """
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
