@@ -16,6 +16,7 @@ from . import settings as S
 from . import standins as st
 from .functions import dates, fingerprint, money, text
 from .operators import apply, changes, checks, dedup, reconcile
+from .operators.settle import settle
 from .plans import balances, extract, payroll, pipeline, staffing
 from .sources import reports
 
@@ -173,14 +174,14 @@ def new_expenses(spark, d):
 @_query
 def apply_changes(spark, d):
     """The whole ledger after the change set."""
-    after = apply.apply_expense_changes(st.stored_expenses(spark, d), _changes(spark, d))
+    after = apply.apply_expense_changes(st.stored_expenses(spark, d), settle(_changes(spark, d)))
     return after.withColumn("tipo_doc_despesa", F.coalesce("tipo_doc_despesa", F.lit("")))
 
 
 @_query
 def diff_idempotent(spark, d):
     """A second run over its own result finds nothing to do."""
-    after = apply.apply_expense_changes(st.stored_expenses(spark, d), _changes(spark, d))
+    after = apply.apply_expense_changes(st.stored_expenses(spark, d), settle(_changes(spark, d)))
     return changes.count_actions(changes.classify(st.expenses(spark, d), after))
 
 
@@ -284,14 +285,16 @@ def apply_refunds(spark, d):
 @_query
 def run_preview(spark, d):
     """First rows and totals of the three change sets of a run."""
-    return changes.preview_run(_changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d))
+    return changes.preview_run(
+        settle(_changes(spark, d)), settle(_income_updates(spark, d)), settle(_refund_updates(spark, d))
+    )
 
 
 @_query
 def full_run_contracts(spark, d):
     """Contracts at the end of a run: changes found, applied, lines and contracts refreshed."""
     state = pipeline.Ledger(st.stored_expenses(spark, d), st.contracts(spark, d), st.lines(spark, d))
-    found = pipeline.ChangeSets(_changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d))
+    found = pipeline.ChangeSets(settle(_changes(spark, d)), _income_updates(spark, d), _refund_updates(spark, d))
     return pipeline.refresh(pipeline.apply_changes(state, found), st.AS_OF).contracts.select(
         "id_termo",
         "data_atual",

@@ -25,11 +25,13 @@ def fingerprint(
     not look like a change.
     """
 
-    def as_text(name: str) -> Column:
+    blanks = "".join(f"\\u{ord(c):04x}" for c in tx.BLANKS)
+
+    def as_text(name: str) -> str:
         if name in amounts:
-            return F.coalesce(F.col(name).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")).cast("string")
+            return f"cast(coalesce(cast(`{name}` AS decimal(18,2)), 0) AS string)"
         if name in dates:
-            return F.coalesce(F.date_format(F.col(name).cast("date"), "yyyy-MM-dd"), F.lit(""))
-        return tx.strip_or_blank(F.col(name).cast("string"))
+            return f"coalesce(date_format(cast(`{name}` AS date), 'yyyy-MM-dd'), '')"
+        return f"trim(BOTH '{blanks}' FROM coalesce(cast(`{name}` AS string), ''))"
 
-    return F.md5(F.concat_ws("|", *[as_text(name) for name in fields]))
+    return F.expr(f"md5(concat_ws('|', {', '.join(as_text(name) for name in fields)}))")

@@ -29,23 +29,30 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
-    """``(__key_hash, __parts)``: keys with more than ``hot_rows`` rows and their piece count.
+def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> list[tuple[int, int]]:
+    """``(key hash, pieces)`` of keys with more than ``hot_rows`` rows.
 
     One pass finds every key above a share of the rows with a counter table of fixed size
-    (no shuffle), a second counts just those keys. The result has at most 10,000 rows
-    whatever the size of the input, so broadcasting it is safe.
+    (no shuffle), a second counts just those keys. At most 10,000 pairs come back whatever
+    the size of the input. They are fetched here, once, because both sides of a join must
+    see the same list.
     """
     share = min(0.1, max(1e-4, 2.0 / shuffle_partitions(facts)))
     keys = facts.select(F.xxhash64(*on).alias(_HASH))
     candidates = keys.freqItems([_HASH], share).select(F.explode(f"{_HASH}_freqItems").alias(_HASH))
-    return (
+    counted = (
         keys.join(F.broadcast(candidates), _HASH, "left_semi")
         .groupBy(_HASH)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > hot_rows)
-        .select(_HASH, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(_PARTS))
     )
+    return [(row[_HASH], -(-row["n"] // hot_rows)) for row in counted.collect()]
+
+
+def _pieces(df: DataFrame, hot: list[tuple[int, int]], on: Sequence[str]) -> DataFrame:
+    """``df`` with the piece count of its key, null for an ordinary key."""
+    table = df.sparkSession.createDataFrame(hot, f"{_HASH} bigint, {_PARTS} int")
+    return df.withColumn(_HASH, F.xxhash64(*on)).join(F.broadcast(table), _HASH, "left").drop(_HASH)
 
 
 def lookup_join(
@@ -58,34 +65,29 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to ``dim``, which holds at most one row per key.
 
-    Beyond ``split_above`` estimated bytes the rows of each hot key are spread over pieces
-    and the single ``dim`` row of that key is repeated once per piece. Rows without a key
-    never match and are spread as well.
+    Beyond ``split_above`` estimated bytes hot keys are looked for. If there are any, their
+    rows are spread over pieces and the single ``dim`` row of such a key is repeated once
+    per piece. Rows without a key count as one more key.
     """
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how}")
-    if estimated_bytes(facts) <= split_above:
+    hot = hot_keys(facts, on, hot_rows) if estimated_bytes(facts) > split_above else []
+    if not hot:
         return facts.join(dim, on, how)
 
-    hot = F.broadcast(hot_keys(facts, on, hot_rows))
-    keyless = F.lit(False)
-    for name in on:
-        keyless = keyless | F.col(name).isNull()
-    # the piece comes from the input partition, which a retried task sees unchanged
+    one = F.lit(1)
+    # the piece comes from the row and its input partition, which a retried task sees unchanged
     seed = F.xxhash64(F.spark_partition_id(), *facts.columns)
-    pieces = F.when(keyless, F.lit(shuffle_partitions(facts))).otherwise(F.coalesce(F.col(_PARTS), F.lit(1)))
     left = (
-        facts.withColumn(_HASH, F.xxhash64(*on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.pmod(seed, pieces.cast("bigint")).cast("int"))
-        .drop(_HASH, _PARTS)
+        _pieces(facts, hot, on)
+        .withColumn(_SALT, F.pmod(seed, F.coalesce(F.col(_PARTS), one).cast("bigint")).cast("int"))
+        .drop(_PARTS)
     )
     right = (
-        dim.withColumn(_HASH, F.xxhash64(*on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)))
-        .drop(_HASH, _PARTS)
+        _pieces(dim, hot, on)
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), one) - 1)))
+        .drop(_PARTS)
     )
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
@@ -108,17 +110,12 @@ def row_number_in_groups(
     """
     group = list(group)
     ordering = [F.col(c) for c in order]
-    if estimated_bytes(df) <= split_above:
+    hot = hot_keys(df, group, hot_rows) if estimated_bytes(df) > split_above else []
+    if not hot:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*ordering)))
 
-    hot = F.broadcast(hot_keys(df, group, hot_rows))
     piece = "__bucket"
-    cut = (
-        df.withColumn(_HASH, F.xxhash64(*group))
-        .join(hot, _HASH, "left")
-        .withColumn(piece, F.when(F.col(_PARTS).isNotNull(), bucket))
-        .drop(_HASH, _PARTS)
-    )
+    cut = _pieces(df, hot, group).withColumn(piece, F.when(F.col(_PARTS).isNotNull(), bucket)).drop(_PARTS)
     before = Window.partitionBy(*group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     # only hot groups reach this, and only one row per bucket of theirs
     starts = (

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import settings as S
 from .functions import money, text
@@ -39,8 +40,15 @@ JOBS_BY_PRIORITY = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _case(c: Column, pairs) -> Column:
@@ -53,20 +61,20 @@ def _case(c: Column, pairs) -> Column:
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One expense per order; contract = customer, budget line = customer and priority."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id_codigo_sit"),
-        F.col("o_custkey").cast("string").alias("termo"),
-        F.col("o_orderpriority").alias("rubrica"),
-        F.lit(S.OTHER_CLASS).alias("tipo_despesa"),
-        text.tax_id(F.col("o_custkey").cast("string")).alias("cpf_cnpj"),
-        F.concat(F.lit("PESSOA "), F.col("o_custkey").cast("string")).alias("favorecido"),
-        F.lit("").alias("tipo_doc_despesa"),
-        F.concat(F.lit("PEDIDO "), F.col("o_orderstatus")).alias("descricao_despesa"),
-        F.lit("").alias("tipo_doc_pagamento"),
-        F.col("o_orderdate").cast("date").alias("data_pagamento"),
-        F.col("o_orderdate").cast("date").alias("data_debito_convenio"),
-        money.money(F.col("o_totalprice")).alias("valor"),
-        text.line_key(F.col("o_custkey"), F.col("o_orderpriority")).alias("id_termo_rubrica"),
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
+        "cast(o_orderkey AS string) AS id_codigo_sit",
+        "cast(o_custkey AS string) AS termo",
+        "o_orderpriority AS rubrica",
+        f"'{S.OTHER_CLASS}' AS tipo_despesa",
+        "lpad(cast(o_custkey AS string), 11, '0') AS cpf_cnpj",
+        "concat('PESSOA ', o_custkey) AS favorecido",
+        "'' AS tipo_doc_despesa",
+        "concat('PEDIDO ', o_orderstatus) AS descricao_despesa",
+        "'' AS tipo_doc_pagamento",
+        "cast(o_orderdate AS date) AS data_pagamento",
+        "cast(o_orderdate AS date) AS data_debito_convenio",
+        "cast(o_totalprice AS decimal(18,2)) AS valor",
+        "concat(o_custkey, '-', o_orderpriority) AS id_termo_rubrica",
     )
 
 

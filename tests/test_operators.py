@@ -235,10 +235,14 @@ def test_split_join_equals_plain_join(spark, how):
 
 def test_hot_key_is_found_and_its_rows_are_spread(spark):
     facts = skewed(spark)
-    hot = skew.hot_keys(facts, ["k"], 500).collect()
-    assert len(hot) == 1 and hot[0]["__parts"] == 2
     key = facts.filter("k = '0'").select(F.xxhash64("k")).first()[0]
-    assert hot[0]["__key_hash"] == key
+    assert skew.hot_keys(facts, ["k"], 500) == [(key, 2)]
+    assert skew.hot_keys(facts, ["k"], 5000) == []
+    dim = spark.range(0, 90).select(F.col("id").cast("string").alias("k"), F.col("id").alias("w"))
+    plain = skew.lookup_join(facts, dim, ["k"], split_above=0, hot_rows=5000)
+    split = skew.lookup_join(facts, dim, ["k"], split_above=0, hot_rows=100)
+    assert "__salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in split._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_split_join_on_two_columns(spark):
