@@ -62,17 +62,20 @@ def lookup_join(
     how: str = "left",
     split_above: int = S.SPLIT_ABOVE_BYTES,
     hot_rows: int = S.HOT_ROWS,
+    keys_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim``, which holds at most one row per key.
 
     Beyond ``split_above`` estimated bytes hot keys are looked for. If there are any, their
     rows are spread over pieces and the single ``dim`` row of such a key is repeated once
-    per piece. Rows without a key count as one more key.
+    per piece. Rows without a key count as one more key. ``keys_in`` is a cheaper frame to
+    look in, when ``facts`` is the result of much work.
     """
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how}")
-    hot = hot_keys(facts, on, hot_rows) if estimated_bytes(facts) > split_above else []
+    keys = facts if keys_in is None else keys_in
+    hot = hot_keys(keys, on, hot_rows) if estimated_bytes(keys) > split_above else []
     if not hot:
         return facts.join(dim, on, how)
 

@@ -38,8 +38,11 @@ def line_metrics(
         F.col("data_inicio_vigencia").alias("__start"),
         F.col("data_fim_vigencia").alias("__end"),
     )
-    keyed = known.withColumn("__contract", text.contract_of(F.col(KEY)))
-    joined = skew.lookup_join(keyed, terms, ["__contract"], "inner", **split).join(spent, KEY, "left")
+    # both sides are grouped by the line key, so this join needs no further shuffle
+    keyed = known.join(spent, KEY, "left").withColumn("__contract", text.contract_of(F.col(KEY)))
+    # one contract may own very many lines
+    keys = lines.select(text.contract_of(F.col(KEY)).alias("__contract"))
+    joined = skew.lookup_join(keyed, terms, ["__contract"], "inner", keys_in=keys, **split)
     total = F.coalesce(F.col("__spent") * F.col("__copies"), F.lit(0)).cast(money.WIDE)
     months = dates.month_boundaries(F.col("__start"), F.col("__last")) + F.lit(1)
     return joined.select(
