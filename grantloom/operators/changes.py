@@ -17,10 +17,10 @@ _NEW, _OLD = "__fp_new", "__fp_old"
 
 
 def stored_fingerprints(stored: DataFrame, key: str = fp.KEY, fields: Sequence[str] = fp.FIELDS) -> DataFrame:
-    """One fingerprint per stored key; only two narrow columns travel."""
+    """One fingerprint per stored key; only the key and sixteen bytes travel."""
     return (
         stored.filter(F.col(key).isNotNull())
-        .select(F.col(key), fp.fingerprint(fields).alias(_OLD))
+        .select(F.col(key), F.unhex(fp.fingerprint(fields)).alias(_OLD))
         .groupBy(key)
         .agg(F.max(_OLD).alias(_OLD))
     )
@@ -38,7 +38,7 @@ def classify(
     Rows without a key are left out; they are rejects (see ``split_keyless``).
     """
     keyed, _ = split_keyless(incoming, key)
-    new = keyed.withColumn(_NEW, fp.fingerprint(fields))
+    new = keyed.withColumn(_NEW, F.unhex(fp.fingerprint(fields)))
     joined = skew.lookup_join(new, stored_fingerprints(stored, key, fields), [key], "left", **split)
     action = (
         F.when(F.col(_OLD).isNull(), F.lit(S.INSERT))

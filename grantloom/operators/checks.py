@@ -22,6 +22,11 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Whether a step has anything to do; reads no more than one row."""
+    return not df.isEmpty()
+
+
 def optional(df: DataFrame, name: str, default: str | None = ""):
     """Column ``name``, or a literal when the frame does not have it."""
     return F.col(name) if name in df.columns else F.lit(default)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import settings as S
 from ..functions.dates import AsOf
-from ..operators import apply, changes, reconcile
+from ..operators import apply, changes, checks, reconcile
 from ..sources import reports, staging, workbooks
 from . import balances, extract
 
@@ -31,6 +31,10 @@ class ChangeSets:
     income: DataFrame
     refunds: DataFrame
 
+    def any(self) -> bool:
+        """Whether there is anything to apply."""
+        return any(checks.has_rows(df) for df in (self.expenses, self.income, self.refunds))
+
 
 @dataclass(frozen=True)
 class Run:

@@ -22,6 +22,7 @@ SPARK = build_session(
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shared-"),
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-"),
     },
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import D, write_xlsx
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from test_sources import HEADER, MAP, REPORT, put, row
 
 from grantloom import schemas
-from grantloom.operators import changes
+from grantloom.operators import changes, settle
 from grantloom.plans import pipeline
 from grantloom.sources import staging
 from grantloom.streaming import landing
@@ -84,6 +85,7 @@ def test_full_run(spark, ledger, tmp_path):
     again = pipeline.run(spark, folder, done.ledger, out, "2", AS_OF, approved=True, mapping=MAP)
     assert {r["acao"]: r["registros"] for r in again.counts.collect()} == {"IGNORE": 2}
     assert again.preview.count() == 0
+    assert not again.changes.any() and done.changes.any()
     assert again.ledger.contracts.collect() == done.ledger.contracts.collect()
 
     landed(tmp_path / "in", "11.00")
@@ -118,6 +120,25 @@ def test_landing_stream_takes_each_file_once(spark, tmp_path):
     assert changes.count_actions(staging.read_run(spark, out, "mudancas", 1)).count() == 2
 
 
+def test_settled_results_go_to_the_folder_the_session_names(spark):
+    folder = Path(settle.shared_folder(spark))
+    assert folder.name.startswith("shared-")
+    before = set(folder.glob("settled-*"))
+    out = settle.settle(spark.range(5))
+    assert out.count() == 5 and len(set(folder.glob("settled-*")) - before) == 1
+
+
+def test_without_a_named_folder_only_a_local_master_gets_one():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}", getConf=lambda: {})
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
+
+    first = settle.shared_folder(session("local[2]"))
+    assert Path(first).is_dir() and settle.shared_folder(session("local[2]")) == first
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        settle.shared_folder(session("yarn"))
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["id_termo_rubrica", "data_atual", "dias_restantes", "saldo_total_gasto", "media_mensal_gastos"]
