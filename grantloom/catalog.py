@@ -17,7 +17,7 @@ from . import standins as st
 from .functions import dates, fingerprint, money, text
 from .operators import apply, changes, checks, dedup, reconcile
 from .operators.settle import settle
-from .plans import balances, extract, payroll, pipeline, staffing
+from .plans import balances, extract, full_run, payroll, staffing
 from .sources import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,9 +293,9 @@ def run_preview(spark, d):
 @_query
 def full_run_contracts(spark, d):
     """Contracts at the end of a run: changes found, applied, lines and contracts refreshed."""
-    state = pipeline.Ledger(st.stored_expenses(spark, d), st.contracts(spark, d), st.lines(spark, d))
-    found = pipeline.ChangeSets(settle(_changes(spark, d)), _income_updates(spark, d), _refund_updates(spark, d))
-    return pipeline.refresh(pipeline.apply_changes(state, found), st.AS_OF).contracts.select(
+    state = full_run.Ledger(st.stored_expenses(spark, d), st.contracts(spark, d), st.lines(spark, d))
+    found = full_run.ChangeSets(settle(_changes(spark, d)), _income_updates(spark, d), _refund_updates(spark, d))
+    return full_run.refresh(full_run.apply_changes(state, found), st.AS_OF).contracts.select(
         "id_termo",
         "data_atual",
         "dias_restantes",

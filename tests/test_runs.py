@@ -14,7 +14,7 @@ from test_sources import HEADER, MAP, REPORT, put, row
 
 from grantloom import schemas
 from grantloom.operators import changes, settle
-from grantloom.plans import pipeline
+from grantloom.plans import full_run
 from grantloom.sources import staging
 from grantloom.streaming import landing
 
@@ -46,7 +46,7 @@ def ledger(spark):
     lines = empty(spark, schemas.LINES, id_termo_rubrica="71-3.1.90.11.99", saldo_inicial_previsto=D("15.00")).unionByName(
         empty(spark, schemas.LINES, id_termo_rubrica="71-3.3.90.30.99", saldo_inicial_previsto=D("100.00"), valor_estornado=D("0.00"))
     )
-    return pipeline.Ledger(spark.createDataFrame([], schemas.EXPENSES), contract, lines)
+    return full_run.Ledger(spark.createDataFrame([], schemas.EXPENSES), contract, lines)
 
 
 def landed(folder, amount="10.50"):
@@ -58,13 +58,13 @@ def landed(folder, amount="10.50"):
 
 def test_full_run(spark, ledger, tmp_path):
     folder, out = landed(tmp_path / "in"), str(tmp_path / "out")
-    only = pipeline.run(spark, folder, ledger, out, "0", AS_OF, approved=False, mapping=MAP)
+    only = full_run.run(spark, folder, ledger, out, "0", AS_OF, approved=False, mapping=MAP)
     assert only.ledger is ledger and only.line_log is None
     assert {r["acao"]: r["registros"] for r in only.counts.collect()} == {"INSERT": 2}
     assert sorted({r["secao"] for r in only.preview.collect()}) == ["DESPESAS", "RUBRICAS", "TERMOS"]
     assert only.rejected.count() == 1
 
-    done = pipeline.run(spark, folder, ledger, out, "1", AS_OF, approved=True, mapping=MAP)
+    done = full_run.run(spark, folder, ledger, out, "1", AS_OF, approved=True, mapping=MAP)
     assert done.ledger.expenses.count() == 2
     lines = {r["id_termo_rubrica"]: r for r in done.ledger.lines.collect()}
     spent = lines["71-3.1.90.11.99"]
@@ -77,19 +77,19 @@ def test_full_run(spark, ledger, tmp_path):
     # money is conserved between lines and contract
     assert contract["saldo_total_gasto"] == sum(r["saldo_total_gasto"] for r in lines.values())
     assert done.line_log.count() == 2 and done.contract_log.count() == 1
-    pipeline.register_views(done.ledger, AS_OF)
+    full_run.register_views(done.ledger, AS_OF)
     top = spark.sql("SELECT r.id_termo_rubrica FROM vw_rubricas_calc v JOIN rubricas r USING (id_termo_rubrica) ORDER BY v.saldo_total_gasto DESC")
     assert top.first()[0] == "71-3.1.90.11.99"
     assert spark.sql("SELECT saldo_total_gasto FROM vw_termos_calc").first()[0] == D("21.00")
 
-    again = pipeline.run(spark, folder, done.ledger, out, "2", AS_OF, approved=True, mapping=MAP)
+    again = full_run.run(spark, folder, done.ledger, out, "2", AS_OF, approved=True, mapping=MAP)
     assert {r["acao"]: r["registros"] for r in again.counts.collect()} == {"IGNORE": 2}
     assert again.preview.count() == 0
     assert not again.changes.any() and done.changes.any()
     assert again.ledger.contracts.collect() == done.ledger.contracts.collect()
 
     landed(tmp_path / "in", "11.00")
-    third = pipeline.run(spark, folder, again.ledger, out, "3", AS_OF, approved=True, mapping=MAP)
+    third = full_run.run(spark, folder, again.ledger, out, "3", AS_OF, approved=True, mapping=MAP)
     assert {r["acao"]: r["registros"] for r in third.counts.collect()} == {"IGNORE": 1, "UPDATE": 1}
     assert third.ledger.expenses.agg(F.sum("valor")).first()[0] == D("21.50")
 
