@@ -393,3 +393,23 @@ def test_expenses_are_summed_before_the_join(spark, tmp_path):
     assert "partial_sum" in plan and "SortAggregate" not in plan
     read = plan.split("ReadSchema:")[1].split("\n")[0]
     assert "valor" in read and "favorecido" not in read
+
+
+def test_line_metrics_shuffle_each_side_once_by_line(spark, tmp_path):
+    frame(spark, schemas.EXPENSES, paid("7-1", "2025-01-31", "10.00")).write.parquet(str(tmp_path / "d"))
+    frame(spark, schemas.LINES, line("7-1", "1.00")).write.parquet(str(tmp_path / "l"))
+    frame(spark, schemas.CONTRACTS, contract(7)).write.parquet(str(tmp_path / "t"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        lines, contracts, expenses = (spark.read.parquet(str(tmp_path / n)) for n in "ltd")
+        plan = balances.line_metrics(lines, contracts, expenses, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(id_termo_rubrica") == 2
+    # and both inputs of the contract join once by contract
+    assert plan.count("Exchange hashpartitioning(__contract") == 2
+    assert "BroadcastExchange" not in plan and "Cartesian" not in plan
