@@ -153,14 +153,13 @@ def chi_square_limit(chance: float, p: int) -> float:
     return high
 
 
-def _distance(x: list[str]) -> Column:
-    """Squared Mahalanobis distance; centre and inverse covariance are in ``centre`` and ``inverse``."""
-    p, off = len(x), [F.col(x[i]) - F.element_at("centre", i + 1) for i in range(len(x))]
+def _distance(values: list[Column], centre: Column, inverse: Column) -> Column:
+    """Squared Mahalanobis distance; the inverse covariance is laid out row by row."""
+    p, off = len(values), [v - F.element_at(centre, i + 1) for i, v in enumerate(values)]
     total = F.lit(0.0)
     for i in range(p):
         for j in range(i, p):
-            weight = F.element_at("inverse", i * p + j + 1)
-            total = total + off[i] * off[j] * weight * (1.0 if i == j else 2.0)
+            total = total + off[i] * off[j] * F.element_at(inverse, i * p + j + 1) * (1.0 if i == j else 2.0)
     return total
 
 
@@ -199,7 +198,7 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, steps: in
     found = shared.keep(first.select("key", "quartiles").mapInPandas(medians, schema))
     products = [F.sum(F.col(x[i]) * F.col(x[j])) for i in range(p) for j in range(i, p)]
     for _ in range(steps):
-        measured = rows.join(found, "key").withColumn("distance", _distance(x))
+        measured = rows.join(found, "key").withColumn("distance", _distance([F.col(c) for c in x], F.col("centre"), F.col("inverse")))
         near = measured.groupBy("key").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
         inner = measured.join(near, "key").filter("distance <= reach")
         sums = inner.groupBy("key").agg(
@@ -210,12 +209,6 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, steps: in
     return found
 
 
-def judge(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", beyond: float = BEYOND) -> tuple[DataFrame, dict[str, str]]:
-    """``df`` with counts, ``base_failed``, ``distance`` and ``kept``, and the names that they got."""
-    counted, names = with_counts(df, text)
-    return _verdicts(counted, counted, names, lang, source, beyond)
-
-
 def _verdicts(counted: DataFrame, sample: DataFrame, names: dict[str, str], lang: str, source: str, beyond: float):
     """Verdicts for ``counted`` by estimates over ``sample``, the same rows in a cheaper form."""
     values = statistics(names)
@@ -227,24 +220,20 @@ def _verdicts(counted: DataFrame, sample: DataFrame, names: dict[str, str], lang
     )
     found = estimates(rows, x)
 
+    # the estimate of each language and source is settled on their names alone, then joined once
+    own, wider, widest = _keys(F.col(f"`{lang}`"), F.col(f"`{source}`"))
+    names_of = sample.select(own.alias("key"), wider.alias("wider"), widest.alias("widest")).distinct()
+    for place in ("key", "wider", "widest"):
+        estimate = F.struct("centre", "inverse").alias(f"by_{place}")
+        names_of = names_of.join(found.select(F.col("key").alias(place), estimate), place, "left")
     taken = [*counted.columns]
     out = {k: texts.fresh(k, taken) for k in ("base_failed", "distance", "kept")}
-    # every key may be missing; the narrowest that is there counts
-    wide = counted
-    places = []
-    for i, key in enumerate(_keys(F.col(f"`{lang}`"), F.col(f"`{source}`"))):
-        estimate, at = texts.fresh(f"_estimate{i}", taken), texts.fresh(f"_key{i}", taken)
-        named = found.select(F.col("key").alias(at), F.struct("centre", "inverse").alias(estimate))
-        wide = wide.join(named, key == F.col(at), "left").drop(at)
-        places.append(estimate)
-    chosen = F.coalesce(*[F.col(c) for c in places])
-    p, total = len(x), F.lit(0.0)
-    centre, inverse = chosen["centre"], chosen["inverse"]
-    off = [values[c] - F.element_at(centre, i + 1) for i, c in enumerate(x)]
-    for i in range(p):
-        for j in range(i, p):
-            total = total + off[i] * off[j] * F.element_at(inverse, i * p + j + 1) * (1.0 if i == j else 2.0)
-    wide = wide.withColumn(out["distance"], total).withColumn(out["base_failed"], failed).drop(*places)
+    at, chosen = (texts.fresh(c, taken) for c in ("_key", "_estimate"))
+    best = names_of.select(F.col("key").alias(at), F.coalesce("by_key", "by_wider", "by_widest").alias(chosen))
+    wide = counted.join(best, own == F.col(at), "left")
+    distance = _distance(list(values.values()), F.col(chosen)["centre"], F.col(chosen)["inverse"])
+    wide = wide.withColumn(out["distance"], distance).withColumn(out["base_failed"], failed).drop(at, chosen)
+    p = len(x)
     limit = chi_square_limit(beyond, p)
     kept = ~F.col(out["base_failed"]) & ~F.coalesce(F.col(out["distance"]) > limit, F.lit(False))
     return wide.withColumn(out["kept"], kept), {**names, **out}
