@@ -54,8 +54,7 @@ ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrs
 _DATES = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 _BY_SIZE = sorted({len(w) for w in WORDS}, reverse=True)
 _KNOWN = frozenset(WORDS)
-_NEXT = {(row[i], row[i + 1]): 1 for row in ROWS for i in range(len(row) - 1)}
-_NEXT |= {(b, a): -1 for a, b in _NEXT}
+_WALKS = tuple(way for row in ROWS for way in (row, row[::-1]))
 
 
 def _brute(value: str) -> float:
@@ -78,7 +77,7 @@ def guess_bits(value: str) -> float:
         reach = [(i + 1, brute)]
         for size in _BY_SIZE:
             part = low[i : i + size]
-            if part in _KNOWN:
+            if len(part) == size and part in _KNOWN:
                 reach.append((i + size, math.log2(len(WORDS)) + (0 if value[i : i + size] == part else 1)))
         date = _DATES.match(value, i)
         if date:
@@ -88,14 +87,12 @@ def guess_bits(value: str) -> float:
             j += 1
             if j - i >= 3:
                 reach.append((j, brute + math.log2(j - i)))
-        j, way = i + 1, None
-        while j < n:
-            turn = _NEXT.get((low[j - 1], low[j]))
-            if turn is None or way not in (None, turn):
-                break
-            way, j = turn, j + 1
-            if j - i >= 3:
-                reach.append((j, math.log2(2 * sum(map(len, ROWS))) + math.log2(j - i)))
+        for walk in _WALKS:
+            at, j = walk.find(low[i]), i + 1
+            while at >= 0 and j < n and walk[at + j - i : at + j - i + 1] == low[j]:
+                j += 1
+                if j - i >= 3:
+                    reach.append((j, math.log2(2 * sum(map(len, ROWS))) + math.log2(j - i)))
         for j, bits in reach:
             # one bit for each seam
             cost[j] = min(cost[j], here + bits + (1.0 if bits != brute or j > i + 1 else 0.0))
