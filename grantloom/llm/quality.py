@@ -32,6 +32,8 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 20, 30
 #: Share of rows that an estimate rests on, steps, fewest rows of an estimate.
 SUPPORT, STEPS, LEAST_ROWS = 0.75, 4, 100
+#: Parts into which the rows of one estimate are dealt.
+PARTS = 64
 #: Chance of a normal vector beyond the limit.
 BEYOND = 1e-9
 #: Least spread of each statistic: differences below are never remarkable.
@@ -197,10 +199,15 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, steps: in
     first = rows.groupBy("key").agg(F.count("*").alias("n"), quartiles.alias("quartiles")).filter(F.col("n") >= LEAST_ROWS)
     found = shared.keep(first.select("key", "quartiles").mapInPandas(medians, schema))
     products = [F.sum(F.col(x[i]) * F.col(x[j])) for i in range(p) for j in range(i, p)]
+    # one key holds all rows: they are dealt out by part as well, and meet again as partial sums
+    parts = F.array(*map(F.lit, range(PARTS)))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*x), F.lit(PARTS)).cast("int"))
     for _ in range(steps):
-        measured = rows.join(found, "key").withColumn("distance", _distance([F.col(c) for c in x], F.col("centre"), F.col("inverse")))
+        here = found.withColumn("part", F.explode(parts))
+        measured = dealt.join(here, ["key", "part"]).withColumn("distance", _distance([F.col(c) for c in x], F.col("centre"), F.col("inverse")))
         near = measured.groupBy("key").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
-        inner = measured.join(near, "key").filter("distance <= reach")
+        reach = near.withColumn("part", F.explode(parts))
+        inner = measured.join(reach, ["key", "part"]).filter("distance <= reach")
         sums = inner.groupBy("key").agg(
             F.count("*").alias("n"), F.array(*map(F.sum, x)).alias("sums"), F.array(*products).alias("products")
         )
