@@ -17,7 +17,7 @@ _HIT = "__hit"
 
 
 def replace_by_key(
-    target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], **split: int
+    target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
     """``UPDATE target SET columns = updates WHERE key = key``.
 
@@ -28,7 +28,7 @@ def replace_by_key(
     new = updates.select(
         key, F.lit(True).alias(_HIT), *[F.col(c).alias(f"__new_{c}") for c in columns]
     )
-    joined = skew.lookup_join(target, new, [key], "left", **split)
+    joined = skew.lookup_join(target, new, [key], "left")
     return joined.select(
         *[
             F.when(F.col(_HIT), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
@@ -43,7 +43,6 @@ def apply_expense_changes(
     key: str = fp.KEY,
     fields: Sequence[str] = fp.FIELDS,
     order: Sequence[str] = (),
-    **split: int,
 ) -> DataFrame:
     """Stored expenses after the UPDATE rows are set and the INSERT rows are added.
 
@@ -54,21 +53,21 @@ def apply_expense_changes(
     inserts = changes.filter(F.col(ACTION) == S.INSERT).select(*columns)
     wanted = list(dict.fromkeys([key, *fields, *order]))
     last = last_per_key(updates.select(*wanted), [key], order)
-    return replace_by_key(stored, last, key, fields, **split).unionByName(inserts)
+    return replace_by_key(stored, last, key, fields).unionByName(inserts)
 
 
-def apply_income(contracts: DataFrame, updates: DataFrame, **split: int) -> DataFrame:
+def apply_income(contracts: DataFrame, updates: DataFrame) -> DataFrame:
     """Contract income set from ``(nro_sit, rendimento_financeiro_total_csv)``."""
-    return _set_value(contracts, updates, "nro_sit", "rendimento_financeiro_total", "rendimento_financeiro_total_csv", **split)
+    return _set_value(contracts, updates, "nro_sit", "rendimento_financeiro_total", "rendimento_financeiro_total_csv")
 
 
-def apply_refunds(lines: DataFrame, updates: DataFrame, **split: int) -> DataFrame:
+def apply_refunds(lines: DataFrame, updates: DataFrame) -> DataFrame:
     """Line refunds set from ``(id_termo_rubrica, valor_estornado)``."""
-    return _set_value(lines, updates, "id_termo_rubrica", "valor_estornado", "valor_estornado", **split)
+    return _set_value(lines, updates, "id_termo_rubrica", "valor_estornado", "valor_estornado")
 
 
 def _set_value(
-    target: DataFrame, updates: DataFrame, key: str, column: str, source: str, **split: int
+    target: DataFrame, updates: DataFrame, key: str, column: str, source: str
 ) -> DataFrame:
     schema = target.schema
     one = last_per_key(
@@ -78,7 +77,7 @@ def _set_value(
         ).filter(F.col(key).isNotNull()),
         [key],
     )
-    return replace_by_key(target, one, key, [column], **split)
+    return replace_by_key(target, one, key, [column])
 
 
 def clear_table(df: DataFrame) -> DataFrame:

@@ -31,7 +31,6 @@ def classify(
     stored: DataFrame,
     key: str = fp.KEY,
     fields: Sequence[str] = fp.FIELDS,
-    **split: int,
 ) -> DataFrame:
     """Every incoming row with an action: INSERT, UPDATE or IGNORE.
 
@@ -39,7 +38,7 @@ def classify(
     """
     keyed, _ = split_keyless(incoming, key)
     new = keyed.withColumn(_NEW, F.unhex(fp.fingerprint(fields)))
-    joined = skew.lookup_join(new, stored_fingerprints(stored, key, fields), [key], "left", **split)
+    joined = skew.lookup_join(new, stored_fingerprints(stored, key, fields), [key], "left")
     action = (
         F.when(F.col(_OLD).isNull(), F.lit(S.INSERT))
         .when(F.col(_OLD) != F.col(_NEW), F.lit(S.UPDATE))

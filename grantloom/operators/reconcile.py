@@ -18,7 +18,6 @@ def reconcile_income(
     contracts: DataFrame,
     tolerance: str = S.TOLERANCE,
     order: Sequence[str] = (),
-    **split: int,
 ) -> DataFrame:
     """``(nro_sit, rendimento_financeiro_total_csv)`` of contracts whose income differs."""
     new = last_per_key(
@@ -35,7 +34,7 @@ def reconcile_income(
         F.col("rendimento_financeiro_total").alias("rendimento_financeiro_total_sql"),
     )
     return (
-        skew.lookup_join(old, new, ["nro_sit"], "inner", **split)
+        skew.lookup_join(old, new, ["nro_sit"], "inner")
         .filter(
             money.differs(
                 F.col("rendimento_financeiro_total_csv"), F.col("rendimento_financeiro_total_sql"), tolerance
@@ -46,7 +45,7 @@ def reconcile_income(
 
 
 def translate_lines(
-    reported: DataFrame, contracts: DataFrame, order: Sequence[str] = (), **split: int
+    reported: DataFrame, contracts: DataFrame, order: Sequence[str] = ()
 ) -> DataFrame:
     """Reported refunds keyed by the ledger's contract id; numbers it does not know are dropped."""
     ids = last_value_map(
@@ -58,7 +57,7 @@ def translate_lines(
         "id_termo",
     )
     known = skew.lookup_join(
-        reported.withColumn("nro_sit", text.clean_id(F.col("nro_sit"))), ids, ["nro_sit"], "inner", **split
+        reported.withColumn("nro_sit", text.clean_id(F.col("nro_sit"))), ids, ["nro_sit"], "inner"
     ).filter(F.col("id_termo").isNotNull())
     keyed = known.select(
         text.line_key(F.col("id_termo"), F.col("rubrica")).alias("id_termo_rubrica"), "valor_estornado", *order
@@ -72,13 +71,12 @@ def reconcile_lines(
     lines: DataFrame,
     tolerance: str = S.TOLERANCE,
     order: Sequence[str] = (),
-    **split: int,
 ) -> DataFrame:
     """``(id_termo_rubrica, valor_estornado)`` of budget lines whose refund differs."""
-    new = translate_lines(reported, contracts, order, **split)
+    new = translate_lines(reported, contracts, order)
     old = lines.select("id_termo_rubrica", F.col("valor_estornado").alias("__stored"))
     return (
-        skew.lookup_join(old, new, ["id_termo_rubrica"], "inner", **split)
+        skew.lookup_join(old, new, ["id_termo_rubrica"], "inner")
         .filter(money.differs(F.col("valor_estornado"), F.col("__stored"), tolerance))
         .select("id_termo_rubrica", "valor_estornado")
     )

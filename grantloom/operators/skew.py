@@ -1,10 +1,6 @@
 """Many-to-one joins and rankings that survive one key holding a third of all rows.
 
-Adaptive execution splits a skewed join partition only when both join inputs come straight
-from a shuffle. In most joins here the "one" side is an aggregate on the join key, which
-already has the right partitioning and so has no shuffle of its own, and a window can never
-be split. Both cases are therefore split by hand, and only when the input is large enough
-for it to matter.
+There is one plan for every size of input, and building it runs no job.
 """
 
 from __future__ import annotations
@@ -15,130 +11,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .. import settings as S
+_HASH = "__key_hash"
 
-_HASH, _SALT, _PARTS = "__key_hash", "__salt", "__parts"
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame; reads statistics only, runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> list[tuple[int, int]]:
-    """``(key hash, pieces)`` of keys with more than ``hot_rows`` rows.
-
-    One pass finds every key above a share of the rows with a counter table of fixed size
-    (no shuffle), a second counts just those keys. At most 10,000 pairs come back whatever
-    the size of the input. They are fetched here, once, because both sides of a join must
-    see the same list. The share is that of two average partitions, so a key that escapes
-    at most doubles the work of one task; which keys are listed never changes a result.
-    """
-    share = min(0.1, max(1e-4, 2.0 / shuffle_partitions(facts)))
-    keys = facts.select(F.xxhash64(*on).alias(_HASH))
-    candidates = keys.freqItems([_HASH], share).select(F.explode(f"{_HASH}_freqItems").alias(_HASH))
-    counted = (
-        keys.join(F.broadcast(candidates), _HASH, "left_semi")
-        .groupBy(_HASH)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > hot_rows)
-    )
-    return [(row[_HASH], -(-row["n"] // hot_rows)) for row in counted.collect()]
-
-
-def _pieces(df: DataFrame, hot: list[tuple[int, int]], on: Sequence[str]) -> DataFrame:
-    """``df`` with the piece count of its key, null for an ordinary key."""
-    table = df.sparkSession.createDataFrame(hot, f"{_HASH} bigint, {_PARTS} int")
-    return df.withColumn(_HASH, F.xxhash64(*on)).join(F.broadcast(table), _HASH, "left").drop(_HASH)
-
-
-def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    split_above: int = S.SPLIT_ABOVE_BYTES,
-    hot_rows: int = S.HOT_ROWS,
-    keys_in: DataFrame | None = None,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``facts`` to ``dim``, which holds at most one row per key.
 
-    Beyond ``split_above`` estimated bytes hot keys are looked for. If there are any, their
-    rows are spread over pieces and the single ``dim`` row of such a key is repeated once
-    per piece. Rows without a key count as one more key. ``keys_in`` is a cheaper frame to
-    look in, when ``facts`` is the result of much work.
+    Adaptive execution splits the partition of a hot key only when both inputs are shuffled
+    for the join itself. ``dim`` is mostly an aggregate on the same key and would be taken as
+    it lies; a hash of the key as one more join key makes the planner deal out both sides
+    anew. That moves one narrow row per key once more, and nothing else.
     """
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how}")
-    keys = facts if keys_in is None else keys_in
-    hot = hot_keys(keys, on, hot_rows) if estimated_bytes(keys) > split_above else []
-    if not hot:
-        return facts.join(dim, on, how)
-
-    one = F.lit(1)
-    # the piece comes from the row and its input partition, which a retried task sees unchanged
-    seed = F.xxhash64(F.spark_partition_id(), *facts.columns)
-    left = (
-        _pieces(facts, hot, on)
-        .withColumn(_SALT, F.pmod(seed, F.coalesce(F.col(_PARTS), one).cast("bigint")).cast("int"))
-        .drop(_PARTS)
-    )
-    right = (
-        _pieces(dim, hot, on)
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), one) - 1)))
-        .drop(_PARTS)
-    )
-    return left.join(right, [*on, _SALT], how).drop(_SALT)
+    key = F.xxhash64(*on)
+    return facts.withColumn(_HASH, key).join(dim.withColumn(_HASH, key), [*on, _HASH], how).drop(_HASH)
 
 
 def row_number_in_groups(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    bucket: Column,
-    name: str,
-    split_above: int = S.SPLIT_ABOVE_BYTES,
-    hot_rows: int = S.HOT_ROWS,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: Column, name: str
 ) -> DataFrame:
     """``row_number() over (partition by group order by order)`` as column ``name``.
 
     ``bucket`` must never decrease along ``order`` and should bound the rows that share a
-    value (such as ``id div 100000`` of a unique id). Groups above ``hot_rows`` are numbered
-    bucket by bucket, each bucket starting after the rows of the buckets before it. Ordinary
-    groups stay in one piece.
+    value (such as ``id div 100000`` of a unique id); a null order value gives a null bucket,
+    which comes first as nulls do. Rows are numbered within their bucket, and a bucket starts
+    after the rows of the buckets before it, so no task orders more than one bucket's rows.
     """
-    group = list(group)
-    ordering = [F.col(c) for c in order]
-    hot = hot_keys(df, group, hot_rows) if estimated_bytes(df) > split_above else []
-    if not hot:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*ordering)))
-
-    piece = "__bucket"
-    cut = _pieces(df, hot, group).withColumn(piece, F.when(F.col(_PARTS).isNotNull(), bucket)).drop(_PARTS)
+    group, piece = list(group), "__bucket"
+    cut = df.withColumn(piece, bucket)
     before = Window.partitionBy(*group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    # only hot groups reach this, and only one row per bucket of theirs
     starts = (
-        cut.filter(F.col(piece).isNotNull())
-        .groupBy(*group, piece)
+        cut.groupBy(*group, piece)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             *[F.col(c).alias(f"__s_{c}") for c in [*group, piece]],
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
         )
     )
-    inside = F.row_number().over(Window.partitionBy(*group, piece).orderBy(*ordering))
+    inside = F.row_number().over(Window.partitionBy(*group, piece).orderBy(*[F.col(c) for c in order]))
     same = F.lit(True)
     for c in [*group, piece]:
         same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
     return (
         cut.withColumn(name, inside)
         .join(starts, same, "left")
-        .withColumn(name, F.col(name) + F.coalesce(F.col("__start"), F.lit(0)))
+        .withColumn(name, (F.col(name) + F.col("__start")).cast("int"))
         .select(*df.columns, name)
     )
 

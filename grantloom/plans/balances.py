@@ -18,7 +18,7 @@ BEFORE, REFRESHED = "saldo_anterior", "recalculada"
 
 
 def line_metrics(
-    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
+    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """Spend, days left and burn rate per budget line of a known contract.
 
@@ -41,8 +41,7 @@ def line_metrics(
     # both sides are grouped by the line key, so this join needs no further shuffle
     keyed = known.join(spent, KEY, "left").withColumn("__contract", text.contract_of(F.col(KEY)))
     # one contract may own very many lines
-    keys = lines.select(text.contract_of(F.col(KEY)).alias("__contract"))
-    joined = skew.lookup_join(keyed, terms, ["__contract"], "inner", keys_in=keys, **split)
+    joined = skew.lookup_join(keyed, terms, ["__contract"], "inner")
     total = F.coalesce(F.col("__spent") * F.col("__copies"), F.lit(0)).cast(money.WIDE)
     months = dates.month_boundaries(F.col("__start"), F.col("__last")) + F.lit(1)
     return joined.select(
@@ -55,20 +54,20 @@ def line_metrics(
 
 
 def refresh_lines(
-    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
+    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """Budget lines with refreshed balance, percent spent, burn rate and runway.
 
     Lines of unknown contracts keep their stored values.
     """
-    return refresh_lines_traced(lines, contracts, expenses, as_of, **split).select(*lines.columns)
+    return refresh_lines_traced(lines, contracts, expenses, as_of).select(*lines.columns)
 
 
 def line_change_log(
-    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
+    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """Balance before and after for every refreshed line, by line key."""
-    return line_log(refresh_lines_traced(lines, contracts, expenses, as_of, **split))
+    return line_log(refresh_lines_traced(lines, contracts, expenses, as_of))
 
 
 def line_log(traced: DataFrame) -> DataFrame:
@@ -86,17 +85,17 @@ def line_log(traced: DataFrame) -> DataFrame:
 
 
 def refresh_lines_traced(
-    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None, **split: int
+    lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """As ``refresh_lines``, with the balance before and whether the line was refreshed.
 
     Written once, it yields both the new lines and their change log.
     """
-    metrics = line_metrics(lines, contracts, expenses, as_of, **split)
+    metrics = line_metrics(lines, contracts, expenses, as_of)
     new = metrics.select(
         KEY, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__m_{c}") for c in metrics.columns if c != KEY]
     )
-    joined = skew.lookup_join(lines, new, [KEY], "left", **split).withColumn(BEFORE, F.col("saldo_atual"))
+    joined = skew.lookup_join(lines, new, [KEY], "left").withColumn(BEFORE, F.col("saldo_atual"))
 
     planned, spend, burn = F.col("saldo_inicial_previsto"), F.col("__m_saldo_total_gasto"), F.col("__m_media_mensal_gastos")
     balance = (planned - spend + money.zero_if_null(F.col("valor_estornado"))).cast(money.WIDE)

@@ -15,8 +15,8 @@ from ..operators.once import compute_once
 
 # at most this many seats share an id range, so no task numbers more of one contract and job
 SEAT_RANGE = 100_000
-# at most 100,000 eleven-digit tax ids share their first six digits
-TAX_ID_PREFIX = 6
+# at most 1,000 eleven-digit and 1,000,000 fourteen-digit tax ids share their first eight digits
+TAX_ID_PREFIX = 8
 
 
 def first_and_last_payment(events: DataFrame, event_type: str = S.SALARY_PAYMENT) -> DataFrame:
@@ -47,7 +47,7 @@ def active_payees(events: DataFrame, as_of: AsOf = None) -> DataFrame:
     return first_and_last_payment(events).filter(F.col("ultimo_pagamento") >= since)
 
 
-def assign_seats(seats: DataFrame, events: DataFrame, as_of: AsOf = None, **split: int) -> DataFrame:
+def assign_seats(seats: DataFrame, events: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Every seat freed, then the n-th seat of a contract and job given to its n-th active payee.
 
     Seats count by id, payees by tax id. Seats beyond the payees stay free; payees beyond
@@ -62,11 +62,11 @@ def assign_seats(seats: DataFrame, events: DataFrame, as_of: AsOf = None, **spli
     )
     group = ["__termo", "__cargo"]
     numbered = skew.row_number_in_groups(
-        payees, group, ["cpf"], F.substring("cpf", 1, TAX_ID_PREFIX), "__n", **split
+        payees, group, ["cpf"], F.substring("cpf", 1, TAX_ID_PREFIX), "__n"
     ).drop("cpf")
     keyed = seats.withColumns({"__termo": F.col("termo"), "__cargo": text.fold_case(F.col("cargo"))})
     places = skew.row_number_in_groups(
-        keyed, group, ["id_vaga"], F.floor(F.col("id_vaga") / F.lit(SEAT_RANGE)), "__n", **split
+        keyed, group, ["id_vaga"], F.floor(F.col("id_vaga") / F.lit(SEAT_RANGE)), "__n"
     )
     taken = F.col("__payee").isNotNull()
     values = {
@@ -101,11 +101,14 @@ def roster(
             text.first_rule(folded, jobs, S.OTHER_JOB).alias("cargo"),
             "data_debito_convenio",
         )
-        .groupBy("favorecido", "termo", "cargo")
+        # spellings that differ in case alone are one payee
+        .groupBy(text.fold_case(F.col("favorecido")).alias("__payee"), "termo", "cargo")
         .agg(
+            F.min("favorecido").alias("favorecido"),
             F.min("data_debito_convenio").alias("data_primeiro_pagamento"),
             F.max("data_debito_convenio").alias("data_ultimo_pagamento"),
         )
+        .select("favorecido", "termo", "cargo", "data_primeiro_pagamento", "data_ultimo_pagamento")
     )
     last = dates.year_month(F.col("data_ultimo_pagamento"))
     state = (

@@ -10,6 +10,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a hot key is split even where the join's result must then be dealt out once more
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # size-checked at run time; nothing in the package forces a broadcast of growing data
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",

@@ -146,11 +146,3 @@ CONTRACT_LOG_TITLE = "Relatório Completo - Termos"
 # average days of a month in the runway text, and the reconcile tolerance
 DAYS_PER_MONTH = "30.4375"
 TOLERANCE = "0.01"
-
-# --- our own defaults -----------------------------------------------------------------
-
-# below this many estimated input bytes one task can hold a whole key, so joins and
-# rankings take the plain plan; above it hot keys are looked for and split
-SPLIT_ABOVE_BYTES = 1 << 30
-# rows of one key that a single task may hold before the key is split
-HOT_ROWS = 2_000_000

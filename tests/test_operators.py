@@ -5,15 +5,14 @@ from collections import Counter
 
 import pytest
 from conftest import D
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grantloom import settings as S
 from grantloom.operators import apply, changes, checks, dedup, reconcile, skew
-from grantloom.operators.once import compute_once, spread
+from grantloom.operators.once import compute_once
 from grantloom.schemas import EXPENSES
 
-SPLIT = {"split_above": 0, "hot_rows": 50}
-
 
 def expense(key, valor="10.00", **more):
     row = dict.fromkeys(S.EXPENSE_COLUMNS, "") | {
@@ -224,60 +223,58 @@ def skewed(spark, rows=3000):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_split_join_equals_plain_join(spark, how):
+def test_lookup_join_equals_plain_join(spark, how):
     facts = skewed(spark)
     dim = spark.range(0, 90).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("w"))
     plain = facts.join(dim, ["k"], how)
-    split = skew.lookup_join(facts, dim, ["k"], how, **SPLIT)
+    split = skew.lookup_join(facts, dim, ["k"], how)
     assert split.columns == plain.columns
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_hot_key_is_found_and_its_rows_are_spread(spark):
-    facts = skewed(spark)
-    key = facts.filter("k = '0'").select(F.xxhash64("k")).first()[0]
-    assert skew.hot_keys(facts, ["k"], 500) == [(key, 2)]
-    assert skew.hot_keys(facts, ["k"], 5000) == []
-    dim = spark.range(0, 90).select(F.col("id").cast("string").alias("k"), F.col("id").alias("w"))
-    plain = skew.lookup_join(facts, dim, ["k"], split_above=0, hot_rows=5000)
-    split = skew.lookup_join(facts, dim, ["k"], split_above=0, hot_rows=100)
-    assert "__salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in split._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_split_join_on_two_columns(spark):
+def test_lookup_join_on_two_columns(spark):
     facts = skewed(spark).withColumn("j", F.lit("x"))
     dim = spark.range(0, 90).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("j"), F.col("id").alias("w"))
-    split = skew.lookup_join(facts, dim, ["k", "j"], **SPLIT)
+    split = skew.lookup_join(facts, dim, ["k", "j"])
     plain = facts.join(dim, ["k", "j"], "left")
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_split_row_numbers_equal_plain_ones(spark):
+def test_both_sides_are_dealt_out_for_the_join(spark):
+    """Only then may adaptive execution split a hot key; an aggregate's own partitioning is not taken over."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        facts = skewed(spark)
+        dim = facts.groupBy("k").agg(F.max("v").alias("w"))
+        plan = skew.lookup_join(facts, dim, ["k"], "inner")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    dealt = [x for x in plan.split("\n") if "Exchange hashpartitioning(k#" in x and "__key_hash" in x]
+    assert len(dealt) == 2 and all("ENSURE_REQUIREMENTS" in x for x in dealt)
+
+
+def test_row_numbers_by_bucket_equal_plain_ones(spark):
     rows = spark.range(0, 4000, 1, 5).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 41).cast("string")).alias("g"),
         ((F.col("id") * 7919) % 4001).alias("o"),
     )
     rows = rows.unionByName(spark.range(1500).select(F.lit(None).cast("string").alias("g"), F.col("id").alias("o")))
-    bucket = F.floor(F.col("o") / F.lit(100))
-    plain = skew.row_number_in_groups(rows, ["g"], ["o"], bucket, "n")
-    split = skew.row_number_in_groups(rows, ["g"], ["o"], bucket, "n", split_above=0, hot_rows=200)
-    assert split.columns == plain.columns
-    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+    rows = rows.unionByName(rows.limit(7)).unionByName(spark.range(3).select(F.lit("hot").alias("g"), F.lit(None).cast("long").alias("o")))
+    plain = rows.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    cut = skew.row_number_in_groups(rows, ["g"], ["o"], F.floor(F.col("o") / F.lit(100)), "n")
+    assert cut.columns == plain.columns and cut.schema["n"].dataType == plain.schema["n"].dataType
+    assert Counter(map(tuple, cut.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_split_change_detection_and_apply(spark):
-    stored = skewed(spark).select(F.col("k").alias("id_codigo_sit"), F.lit("6373").alias("termo"), F.col("v").cast("decimal(18,2)").alias("valor"))
-    stored = stored.select(*[F.col(c) if c in stored.columns else F.lit(None).cast("string").alias(c) for c in S.EXPENSE_COLUMNS])
-    stored = stored.withColumns({c: F.col(c).cast("date") for c in ("data_pagamento", "data_debito_convenio")})
-    new = stored.withColumn("valor", (F.col("valor") + (F.col("id_codigo_sit") == "0").cast("int")).cast("decimal(18,2)"))
-    plain = changes.classify(new, stored)
-    split = changes.classify(new, stored, **SPLIT)
-    assert Counter(map(str, split.collect())) == Counter(map(str, plain.collect()))
-    found = plain.filter("acao <> 'IGNORE'")
-    a, b = apply.apply_expense_changes(stored, found), apply.apply_expense_changes(stored, found, **SPLIT)
-    assert a.count() == stored.count()
-    assert Counter(map(str, a.collect())) == Counter(map(str, b.collect()))
+def test_row_numbers_of_null_orders_come_first_and_once(spark):
+    rows = spark.createDataFrame([("a", None), ("a", None), ("a", 5), ("a", 7), ("a", 250_000)], "g string, o long")
+    cut = skew.row_number_in_groups(rows, ["g"], ["o"], F.floor(F.col("o") / F.lit(100_000)), "n")
+    assert sorted((r["n"], r["o"]) for r in cut.collect())[2:] == [(3, 5), (4, 7), (5, 250_000)]
+    assert sorted(r["n"] for r in cut.collect()) == [1, 2, 3, 4, 5]
 
 
 def test_sort_rows_orders_and_keeps_copies(spark):
@@ -290,9 +287,3 @@ def test_compute_once_is_not_copied_into_filters(spark):
     assert [r["u"] for r in df.collect()] == ["A", None, "C"]
     plan = df.filter("u like '%A%' or u like '%B%'")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("upper(") == 1
-
-
-def test_spread_only_small_inputs(spark):
-    few, many = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 64)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
