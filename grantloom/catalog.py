@@ -16,9 +16,8 @@ from . import settings as S
 from . import standins as st
 from .functions import dates, fingerprint, money, text
 from .operators import apply, changes, checks, dedup, reconcile
-from .operators.settle import settle
 from .plans import balances, extract, full_run, payroll, staffing
-from .sources import reports
+from .sources import reports, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,14 +173,14 @@ def new_expenses(spark, d):
 @_query
 def apply_changes(spark, d):
     """The whole ledger after the change set."""
-    after = apply.apply_expense_changes(st.stored_expenses(spark, d), settle(_changes(spark, d)))
+    after = apply.apply_expense_changes(st.stored_expenses(spark, d), _changes(spark, d))
     return after.withColumn("tipo_doc_despesa", F.coalesce("tipo_doc_despesa", F.lit("")))
 
 
 @_query
 def diff_idempotent(spark, d):
     """A second run over its own result finds nothing to do."""
-    after = apply.apply_expense_changes(st.stored_expenses(spark, d), settle(_changes(spark, d)))
+    after = apply.apply_expense_changes(st.stored_expenses(spark, d), _changes(spark, d))
     return changes.count_actions(changes.classify(st.expenses(spark, d), after))
 
 
@@ -286,7 +285,7 @@ def apply_refunds(spark, d):
 def run_preview(spark, d):
     """First rows and totals of the three change sets of a run."""
     return changes.preview_run(
-        settle(_changes(spark, d)), settle(_income_updates(spark, d)), settle(_refund_updates(spark, d))
+        _changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d)
     )
 
 
@@ -294,7 +293,7 @@ def run_preview(spark, d):
 def full_run_contracts(spark, d):
     """Contracts at the end of a run: changes found, applied, lines and contracts refreshed."""
     state = full_run.Ledger(st.stored_expenses(spark, d), st.contracts(spark, d), st.lines(spark, d))
-    found = full_run.ChangeSets(settle(_changes(spark, d)), _income_updates(spark, d), _refund_updates(spark, d))
+    found = full_run.ChangeSets(_changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d))
     return full_run.refresh(full_run.apply_changes(state, found), st.AS_OF).contracts.select(
         "id_termo",
         "data_atual",
@@ -452,7 +451,12 @@ def rejects_good(spark, d):
 
 @_query
 def clear_table(spark, d):
-    return apply.clear_table(st.expenses(spark, d))
+    """Rows of the ledger before and after it is cleared."""
+    before, none = st.expenses(spark, d), F.lit(0).cast("bigint")
+    marked = before.select(F.lit(1).cast("bigint").alias("a"), none.alias("b")).unionByName(
+        apply.clear_table(before).select(none.alias("a"), F.lit(1).cast("bigint").alias("b"))
+    )
+    return marked.agg(F.coalesce(F.sum("a"), none).alias("linhas_antes"), F.coalesce(F.sum("b"), none).alias("linhas_depois"))
 
 
 # --- staffing and payroll reports -----------------------------------------------------
@@ -541,3 +545,79 @@ def instalments(spark, d):
 @_query
 def line_history(spark, d):
     return payroll.line_history(st.payroll(spark, d), "-3.1.90.11.99")
+
+
+# --- scans, file checks and views -----------------------------------------------------
+
+
+@_query
+def report_decode(spark, d):
+    """Reports as bytes, half of them UTF-8 and half Latin-1, read back as text."""
+    texts = st.report_texts(spark, d)
+    even = F.col("source_file").cast("bigint") % 2 == 0
+    content = F.when(even, F.encode("content", "UTF-8")).otherwise(F.encode("content", "ISO-8859-1"))
+    files = texts.select(F.col("source_file").alias("path"), F.col("modified").alias("modificationTime"), content.alias("content"))
+    return (
+        reports.decode_files(files)
+        .join(texts.select("source_file", F.col("content").alias("written")), "source_file")
+        .select("source_file", (F.col("content") == F.col("written")).cast("int").alias("igual"))
+    )
+
+
+@_query
+def stored_scans(spark, d):
+    """The four scans of the stored tables over the given files."""
+    customers = stored.read_table(spark, f"{d}/customer.parquet")
+    orders = stored.read_table(spark, f"{d}/orders.parquet")
+    terms = customers.select(
+        F.col("c_custkey").alias("id_termo"),
+        (F.col("c_custkey") + 50000).alias("nro_sit"),
+        money.money(F.col("c_acctbal")).alias("rendimento_financeiro_total"),
+        "c_name",
+    )
+    keyless = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string"))
+    spent = st.expenses(spark, d).join(
+        orders.select(F.col("o_orderkey").cast("string").alias("id_codigo_sit"), keyless.alias("chave")), "id_codigo_sit"
+    )
+    parts = (
+        ("despesas", stored.stored_expenses(spent.withColumn("id_codigo_sit", F.col("chave"))), "id_codigo_sit", "valor"),
+        ("termos", stored.contract_map(terms), "id_termo", "nro_sit"),
+        ("rendimentos", stored.stored_income(terms), "nro_sit", "rendimento_financeiro_total"),
+        ("estornos", stored.stored_refunds(st.lines(spark, d)), "id_termo_rubrica", "valor_estornado"),
+    )
+    shown = [
+        df.select(F.lit(name).alias("tabela"), F.col(key).cast("string").alias("chave"), money.money(F.col(value)).alias("valor"))
+        for name, df, key, value in parts
+    ]
+    return checks.union_files(shown)
+
+
+@_query
+def file_guard(spark, d):
+    """Why each workbook row is used or skipped, with headers missing from some files."""
+    third = F.col("row_no") % 3
+    lacks = F.when(third == 0, F.array(F.lit(S.H_PAYEE))).when(third == 1, F.array(F.lit(S.H_PAID_ON))).otherwise(F.array())
+    raw = st.raw_expenses(spark, d).withColumn("absent", F.concat("absent", lacks))
+    checks.require_columns(raw, ["source_file", "row_no", "file_status", "absent"])
+    return raw.select("row_no", extract.file_verdict(st.SIT_BY_PRIORITY).alias("status"))
+
+
+@_query
+def contract_detail(spark, d):
+    """Personnel expenses of one contract, given as a number."""
+    return payroll.month_detail(st.payroll(spark, d), 7, "1994-01-01", "1999-01-01")
+
+
+@_query
+def line_terminations(spark, d):
+    """Terminations of one budget line."""
+    return payroll.terminations(st.payroll(spark, d), line="7-3.1.90.11.99")
+
+
+@_query
+def sql_views(spark, d):
+    """Spend of lines whose contract has ended, asked of the ledger's views with a parameter."""
+    lines, contracts, expenses = _ledger(spark, d)
+    full_run.register_views(full_run.Ledger(expenses, contracts, lines), st.AS_OF)
+    question = f"SELECT id_termo_rubrica, saldo_total_gasto FROM {full_run.VIEW_LINE_METRICS} WHERE dias_restantes < :dias"
+    return stored.run_query(spark, question, {"dias": 0})

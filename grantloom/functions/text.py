@@ -83,7 +83,7 @@ def line_code(c: Column) -> Column:
 def clean_id(c: Column) -> Column:
     """``67303.0`` -> ``67303``; text that is no number is only trimmed."""
     text = strip(c.cast("string"))
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("bigint"))
+    number = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,18)").try_cast("bigint"))
     return F.coalesce(number.cast("string"), text)
 
 

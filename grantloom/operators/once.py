@@ -18,12 +18,3 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than cores, else unchanged.
-
-    For scans followed by costly expressions: one small file is one task however many cores
-    wait. Large inputs have more splits than cores and are never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named by ``spark.checkpoint.dir``, which every executor can reach."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="grantloom-")
-    return _LOCAL_FOLDERS[app]
+    return folder.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return it as read back.
 
     Steps that follow read columns they need from files any executor can reach, in place of
-    working the result out again; a lost executor does not lose it.
+    working the result out again; a lost executor does not lose it. ``unsettle`` deletes it.
     """
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unsettle(df: DataFrame) -> None:
+    """Delete what ``settle`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 2)[-2] for f in df.inputFiles() if "/settled-" in f}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

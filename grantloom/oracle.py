@@ -349,7 +349,7 @@ ORACLE["rejects_good"] = """SELECT CAST(o_orderkey AS VARCHAR) AS id_codigo_sit,
   strftime(o_orderdate, '%Y-%m-%d') AS data_pagamento, CAST(NULL AS VARCHAR) AS data_debito_convenio, o_orderkey AS linha
   FROM orders WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')"""
 
-ORACLE["clear_table"] = _with(EXPENSES) + f"SELECT {_COLS} FROM despesas WHERE false"
+ORACLE["clear_table"] = "SELECT count(*) AS linhas_antes, CAST(0 AS BIGINT) AS linhas_depois FROM orders"
 
 # --- staffing and payroll -------------------------------------------------------------
 
@@ -390,7 +390,7 @@ PAYROLL = f"""folha AS (
     termo || '-' || rubrica AS id_termo_rubrica
   FROM (SELECT *, l_orderkey || '.' || l_linenumber AS id_codigo_sit, CAST(l_suppkey AS VARCHAR) AS termo,
       CASE l_returnflag WHEN 'A' THEN '3.1.90.11.99' WHEN 'N' THEN '3.1.90.13.99' ELSE '3.3.90.30.99' END AS rubrica,
-      lpad(CAST(l_partkey AS VARCHAR), 11, '0') AS cpf_cnpj, 'PESSOA ' || l_partkey AS favorecido, CAST(l_extendedprice AS DECIMAL(18,2)) AS valor,
+      lpad(CAST(l_partkey AS VARCHAR), 11, '0') AS cpf_cnpj, CASE l_returnflag WHEN 'R' THEN 'Pessoa ' ELSE 'PESSOA ' END || l_partkey AS favorecido, CAST(l_extendedprice AS DECIMAL(18,2)) AS valor,
       CASE WHEN l_linenumber = 2 THEN 'FÉRIAS ' || {_JOB_BY_MONTH} || CASE WHEN l_linestatus = 'O' THEN ' - ' || CAST(l_quantity AS INTEGER) || ' DIAS GOZO DE '
           || strftime(l_shipdate, '%d/%m/%y') || ' A ' || strftime(l_shipdate + to_days(CAST(l_quantity AS INTEGER)), '%d/%m/%y') ELSE '' END
         ELSE CASE l_linenumber WHEN 1 THEN CASE WHEN l_linestatus = 'F' THEN 'RESCISÃO' ELSE 'PAGAMENTO SALÁRIO' END
@@ -414,8 +414,8 @@ def _has(word: str) -> str:
 
 ORACLE["roster_status"] = _with(
     PAYROLL,
-    f"""quadro AS (SELECT favorecido, termo, {_case(_TEXT, ROSTER_JOBS, "'OUTRO'")} AS cargo, min(data_debito_convenio) AS primeiro,
-    max(data_debito_convenio) AS ultimo FROM folha WHERE {_has("SALÁRIO")} AND {_like(_TEXT, [w for w, _ in ROSTER_JOBS])} GROUP BY 1, 2, 3)""",
+    f"""quadro AS (SELECT min(favorecido) AS favorecido, termo, {_case(_TEXT, ROSTER_JOBS, "'OUTRO'")} AS cargo, min(data_debito_convenio) AS primeiro,
+    max(data_debito_convenio) AS ultimo FROM folha WHERE {_has("SALÁRIO")} AND {_like(_TEXT, [w for w, _ in ROSTER_JOBS])} GROUP BY upper(rtrim(favorecido)), 2, 3)""",
 ) + f"""SELECT favorecido, termo, cargo, primeiro AS data_primeiro_pagamento, ultimo AS data_ultimo_pagamento,
   CASE WHEN left(ultimo, 7) >= strftime(DATE '{AS_OF}' - INTERVAL 1 MONTH, '%Y-%m') THEN 'ATIVO'
     WHEN left(ultimo, 7) <= strftime(DATE '{AS_OF}' - INTERVAL 3 MONTH, '%Y-%m') THEN 'INATIVO' ELSE 'INDEFINIDO' END AS status_funcional FROM quadro"""
@@ -456,3 +456,27 @@ ORACLE["instalments"] = _with(PAYROLL) + f"""SELECT favorecido, {_case(_TEXT, IN
   CASE WHEN {_has("1ª PARCELA")} THEN '1ª PARCELA' WHEN {_has("2ª PARCELA")} THEN '2ª PARCELA' ELSE 'NÃO IDENTIFICADA' END AS parcela,
   CAST(valor AS DOUBLE) AS valor, data_pagamento, termo
   FROM folha WHERE {_has("13")} AND {_like(_TEXT, ["1ª PARCELA", "2ª PARCELA"])} AND {_like(_TEXT, [w for w, _ in INSTALMENT_JOBS])}"""
+
+# --- scans, file checks and views -----------------------------------------------------
+
+ORACLE["report_decode"] = "SELECT CAST(o_orderkey AS VARCHAR) AS source_file, 1 AS igual FROM orders"
+
+ORACLE["stored_scans"] = """SELECT 'despesas' AS tabela, CAST(o_orderkey AS VARCHAR) AS chave,
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS valor FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT 'termos', CAST(c_custkey AS VARCHAR), CAST(c_custkey + 50000 AS DOUBLE) FROM customer
+  UNION ALL SELECT 'rendimentos', CAST(c_custkey + 50000 AS VARCHAR), CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) FROM customer
+  UNION ALL SELECT 'estornos', o_custkey || '-' || o_orderpriority,
+    CASE WHEN o_orderpriority <> '3-MEDIUM' THEN round(CAST(min(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) / 100.0) / 100 END
+  FROM orders GROUP BY o_custkey, o_orderpriority"""
+
+ORACLE["file_guard"] = """SELECT o_orderkey + 1 AS row_no, CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown contract'
+  WHEN (o_orderkey + 1) % 3 = 1 THEN 'missing payment date' WHEN (o_orderkey + 1) % 3 = 0 THEN 'missing column' ELSE 'ok' END AS status
+  FROM orders"""
+
+ORACLE["contract_detail"] = _detail(
+    f"{_PERSONNEL} AND termo = '7' AND data_debito_convenio >= '1994-01-01' AND data_debito_convenio < '1999-01-01'"
+)
+
+ORACLE["line_terminations"] = _detail(f"{_has('RESCISÃO')} AND id_termo_rubrica = '7-3.1.90.11.99'")
+
+ORACLE["sql_views"] = f"SELECT id_termo_rubrica, saldo_total_gasto FROM ({ORACLE['burn_rate']}) WHERE dias_restantes < 0"

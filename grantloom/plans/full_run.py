@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,13 +38,19 @@ class ChangeSets:
 
 @dataclass(frozen=True)
 class Run:
-    """What a run found and left behind. ``ledger`` is the old state when not approved."""
+    """What a run found and left behind. ``ledger`` is the old state when not approved.
+
+    ``files`` and ``reports`` count workbooks and reports by what became of them, ``missing``
+    are configured contracts without a workbook.
+    """
 
     changes: ChangeSets
     preview: DataFrame
     counts: DataFrame
     rejected: DataFrame
     files: DataFrame
+    reports: DataFrame
+    missing: DataFrame
     ledger: Ledger
     line_log: DataFrame | None = None
     contract_log: DataFrame | None = None
@@ -97,19 +103,21 @@ def register_views(ledger: Ledger, as_of: AsOf = None) -> None:
 
 def run(
     spark: SparkSession,
-    landing: str,
+    landing: str | Sequence[str],
     ledger: Ledger,
     out: str,
     run_id: str,
     as_of: AsOf = None,
     approved: bool = False,
     mapping: Mapping[str, str] = S.CONTRACT_BY_SIT,
+    write_expenses: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Run:
-    """One run over the files in ``landing``; every table it makes goes below ``out``.
+    """One run over the files in ``landing`` (a folder, or files); every table it makes goes below ``out``.
 
     Without ``approved`` it stops after the preview. Change sets and new tables are written
     once and read back, so nothing is worked out twice and a lost executor only costs the
-    stage in progress.
+    stage in progress. ``write_expenses`` takes the expense changes to a store of its own and
+    returns the new state; without it the expenses are written whole.
     """
     raw = staging.write_run(workbooks.read_workbooks(spark, landing), out, "planilhas", run_id)
     texts = reports.read_texts(spark, landing)
@@ -124,16 +132,16 @@ def run(
         staging.write_run(income, out, "update_termos", run_id),
         staging.write_run(refunds, out, "update_rubricas", run_id),
     )
-    files = extract.workbook_summary(raw, mapping)
+    files, ignored = extract.workbook_summary(raw, mapping), extract.report_summary(texts)
+    missing = extract.missing_workbooks(raw, mapping)
     preview = changes.preview_run(found.expenses, found.income, found.refunds)
     counts = changes.count_with_ignored(keyed, upload)
     if not approved:
-        return Run(found, preview, counts, keyless, files, ledger)
+        return Run(found, preview, counts, keyless, files, ignored, missing, ledger)
 
     after = apply_changes(ledger, found, order)
-    after = Ledger(
-        staging.write_run(after.expenses, out, "despesas", run_id), after.contracts, after.lines
-    )
+    spent = write_expenses(upload) if write_expenses else staging.write_run(after.expenses, out, "despesas", run_id)
+    after = Ledger(spent, after.contracts, after.lines)
     # the refreshed lines feed the contracts and the log
     traced = staging.write_run(
         balances.refresh_lines_traced(after.lines, after.contracts, after.expenses, as_of), out, "rubricas", run_id
@@ -149,6 +157,8 @@ def run(
         counts,
         keyless,
         files,
+        ignored,
+        missing,
         Ledger(after.expenses, contracts, lines),
         balances.line_log(traced),
         contract_log,

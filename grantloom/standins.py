@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 
 from . import settings as S
 from .functions import money, text
-from .operators.once import spread
 
 AS_OF = "2001-08-01"
 SEATS_AS_OF = "2001-07-20"
@@ -61,7 +60,7 @@ def _case(c: Column, pairs) -> Column:
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One expense per order; contract = customer, budget line = customer and priority."""
-    return spread(table(spark, sf_dir, "orders")).selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "cast(o_orderkey AS string) AS id_codigo_sit",
         "cast(o_custkey AS string) AS termo",
         "o_orderpriority AS rubrica",
@@ -187,12 +186,15 @@ def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", F.lit("3.1.90.13.99"))
         .otherwise(F.lit("3.3.90.30.99"))
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("."), number.cast("string")).alias("id_codigo_sit"),
         F.col("l_suppkey").cast("string").alias("termo"),
         code.alias("rubrica"),
         text.tax_id(F.col("l_partkey").cast("string")).alias("cpf_cnpj"),
-        F.concat(F.lit("PESSOA "), F.col("l_partkey").cast("string")).alias("favorecido"),
+        # one person under two spellings that differ in case
+        F.concat(F.when(F.col("l_returnflag") == "R", "Pessoa ").otherwise("PESSOA "), F.col("l_partkey").cast("string")).alias(
+            "favorecido"
+        ),
         F.when(F.col("l_returnflag") == "N", F.lower(description)).otherwise(description).alias("descricao_despesa"),
         day.alias("data_pagamento"),
         day.alias("data_debito_convenio"),
@@ -268,7 +270,7 @@ def report_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         income,
         body,
     )
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("source_file"),
         F.col("o_orderdate").alias("modified"),
         content.alias("content"),
@@ -301,7 +303,7 @@ def raw_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad_day = F.when(F.col("o_orderstatus") == "P", F.lit("31/02/2001")).otherwise(F.date_format(day, "dd/MM/yyyy"))
     kind = F.when(priority == "3-MEDIUM", F.lit("sem código")).otherwise(F.lit("3.1.90.11.99 - pessoal civil"))
     debit = F.date_format(F.date_add(day, 3), "yyyy-MM-dd HH:mm:ss")
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("file:/landing/Despesas_SIT_90"), number, F.lit(".xlsx")).alias("source_file"),
         F.col("o_orderdate").alias("modified"),
         (F.col("o_orderkey") + F.lit(1)).alias("row_no"),

@@ -1,8 +1,12 @@
-"""Landed workbooks as a stream: each file is taken into the ledger once.
+"""Landed files, each taken into the ledger once; nothing has to be moved or deleted.
 
-The checkpoint remembers which files were read, so nothing has to be moved or deleted. A
-batch may be repeated after a failure; each batch therefore reads the version its
-predecessor wrote and overwrites only its own.
+:func:`take_landed` is one step of a job that runs every so often: it remembers files by path,
+time and length, so a file that lands again under its name with new content is taken again,
+and it shares one ledger, workbooks and reports alike, with ``full_run``.
+
+:func:`landing_stream` is for folders in which every file has a name of its own: a stream's
+checkpoint remembers paths alone. A batch may be repeated after a failure; each batch therefore
+reads the version its predecessor wrote and overwrites only its own.
 """
 
 from __future__ import annotations
@@ -10,12 +14,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import settings as S
+from ..functions import fingerprint
+from ..functions.dates import AsOf
 from ..operators import apply, changes
-from ..plans import extract
+from ..plans import extract, full_run
+from ..sources import landing as listing
+from ..schemas import EXPENSES
 from ..sources import staging, workbooks
+from ..sources.buckets import Buckets
 
 TABLE = "despesas"
 # the columns every binary file source has
@@ -68,3 +78,71 @@ def landing_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+TAKEN = "tomados"
+_FILE = ("source_file", "modified", "bytes")
+
+
+def _taken(spark: SparkSession, out: str) -> DataFrame | None:
+    """The files of all finished steps, with the step's number ``run_id``."""
+    base = f"{out.rstrip('/')}/{TAKEN}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.option("basePath", base).parquet(f"{base}/run_id=*")
+
+
+def store(spark: SparkSession, out: str, **how: int) -> Buckets:
+    """The expenses below ``out``, in buckets by key."""
+    return Buckets(spark, f"{out.rstrip('/')}/{TABLE}", fingerprint.KEY, EXPENSES, **how)
+
+
+def latest_ledger(spark: SparkSession, out: str, base: full_run.Ledger) -> tuple[int, full_run.Ledger]:
+    """Number and state of the last finished step; -1 and ``base`` before the first."""
+    taken = _taken(spark, out)
+    last = None if taken is None else taken.agg(F.max("run_id")).first()[0]
+    if last is None:
+        return -1, base
+    lines, contracts = (staging.read_run(spark, out, name, last) for name in ("rubricas", "termos"))
+    return last, full_run.Ledger(store(spark, out).read(last), contracts, lines.select(*base.lines.columns))
+
+
+def take_landed(
+    spark: SparkSession,
+    landing: str,
+    base: full_run.Ledger,
+    out: str,
+    as_of: AsOf = None,
+    mapping: Mapping[str, str] = S.CONTRACT_BY_SIT,
+    files_per_step: int = 100_000,
+) -> full_run.Run | None:
+    """Run over the files not taken yet, oldest first; None if there are none.
+
+    A step ends with the list of its files. One that fails before that is done again from the
+    same ledger under the same number, and overwrites what it left. Expenses are kept in buckets
+    by key, of which a step writes those that its changes touch.
+    """
+    files = listing.landed_files(spark, landing).select(*_FILE)
+    taken = _taken(spark, out)
+    if taken is not None:
+        files = files.join(taken.select(*_FILE), list(_FILE), "left_anti")
+    # names alone, as many as a step is allowed
+    new = files.orderBy("modified", "source_file").limit(files_per_step).collect()
+    if not new:
+        return None
+    last, ledger = latest_ledger(spark, out, base)
+    expenses = store(spark, out)
+    if last < 0:
+        expenses.write(base.expenses, last)
+
+    def write(found: DataFrame) -> DataFrame:
+        change = lambda rows, some: apply.apply_expense_changes(rows, some, order=extract.PROVENANCE)
+        return expenses.change(found, last, last + 1, change)
+
+    paths = [r["source_file"] for r in new]
+    done = full_run.run(
+        spark, paths, ledger, out, str(last + 1), as_of, approved=True, mapping=mapping, write_expenses=write
+    )
+    staging.write_run(spark.createDataFrame(new, files.schema), out, TAKEN, last + 1)
+    return done

@@ -224,9 +224,8 @@ def test_seat_assignment_against_brute_force_with_a_hot_job(spark):
         for id_vaga, who in itertools.zip_longest(sorted(ids), payees[group][: len(ids)]):
             want[id_vaga] = who or (S.SEAT_FREE, None)
     seat_df, event_df = frame(spark, schemas.SEATS, *seats), frame(spark, schemas.PAYEE_EVENTS, *events)
-    for split in ({}, {"split_above": 0, "hot_rows": 20}):
-        out = staffing.assign_seats(seat_df, event_df, AS_OF, **split)
-        assert {r["id_vaga"]: (r["favorecido_atual"], r["data_inicio"]) for r in out.collect()} == want
+    out = staffing.assign_seats(seat_df, event_df, AS_OF)
+    assert {r["id_vaga"]: (r["favorecido_atual"], r["data_inicio"]) for r in out.collect()} == want
     taken = [w[0] for w in want.values() if w[0] != S.SEAT_FREE]
     assert len(taken) > 50
 

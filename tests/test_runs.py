@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import sys
 from pathlib import Path
 from types import SimpleNamespace
@@ -12,7 +13,7 @@ from conftest import D, write_xlsx
 from pyspark.sql import functions as F
 from test_sources import HEADER, MAP, REPORT, put, row
 
-from grantloom import schemas
+from grantloom import catalog, oracle, schemas
 from grantloom.operators import changes, settle
 from grantloom.plans import full_run
 from grantloom.sources import staging
@@ -120,6 +121,27 @@ def test_landing_stream_takes_each_file_once(spark, tmp_path):
     assert changes.count_actions(staging.read_run(spark, out, "mudancas", 1)).count() == 2
 
 
+def test_a_file_that_lands_again_under_its_name_is_taken_again(spark, ledger, tmp_path):
+    folder, out = landed(tmp_path / "in"), str(tmp_path / "out")
+
+    def take():
+        return landing.take_landed(spark, folder, ledger, out, AS_OF, MAP)
+
+    first = take()
+    assert first.ledger.expenses.count() == 2 and {r["status"] for r in first.reports.collect()}
+    assert first.ledger.contracts.first()["rendimento_financeiro_total"] == D("1250.50")
+    assert first.missing.count() == len(MAP) - 1
+    assert take() is None
+    landed(tmp_path / "in", "11.00")
+    for name in ("Despesas_SIT_90001.xlsx", "r.csv"):
+        os.utime(Path(folder) / name, (2_000_000_000, 2_000_000_000))
+    second = take()
+    assert second.ledger.expenses.agg(F.sum("valor")).first()[0] == D("21.50")
+    assert take() is None
+    number, now = landing.latest_ledger(spark, out, ledger)
+    assert number == 1 and now.expenses.count() == 2
+
+
 def test_settled_results_go_to_the_folder_the_session_names(spark):
     folder = Path(settle.shared_folder(spark))
     assert folder.name.startswith("shared-")
@@ -128,15 +150,33 @@ def test_settled_results_go_to_the_folder_the_session_names(spark):
     assert out.count() == 5 and len(set(folder.glob("settled-*")) - before) == 1
 
 
-def test_without_a_named_folder_only_a_local_master_gets_one():
-    def session(master):
-        context = SimpleNamespace(master=master, applicationId=f"app-{master}", getConf=lambda: {})
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
+def test_settled_results_are_deleted(spark):
+    folder = Path(settle.shared_folder(spark))
+    before = set(folder.glob("settled-*"))
+    settle.unsettle(settle.settle(spark.range(5)))
+    assert set(folder.glob("settled-*")) == before
 
-    first = settle.shared_folder(session("local[2]"))
-    assert Path(first).is_dir() and settle.shared_folder(session("local[2]")) == first
+
+def test_a_shared_folder_must_be_named():
+    context = SimpleNamespace(getConf=lambda: {})
+    nameless = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        settle.shared_folder(session("yarn"))
+        settle.shared_folder(nameless)
+
+
+# the scans look into the files for their columns each time
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"stored_scans"}))
+def test_building_a_query_runs_no_job_and_writes_nothing(spark, name):
+    folder = Path(settle.shared_folder(spark))
+    before = set(folder.glob("settled-*"))
+    catalog.QUERIES[name](spark, SMALL)  # reads schemas, once
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    try:
+        catalog.QUERIES[name](spark, SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(folder.glob("settled-*")) == before
 
 
 def test_entry(spark):
@@ -151,10 +191,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     ok, note = check.compare(spark, duck, SMALL, name)
     assert ok, note

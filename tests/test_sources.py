@@ -7,11 +7,13 @@ from pathlib import Path
 import pytest
 from conftest import D, write_xlsx
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantloom import schemas
 from grantloom import settings as S
 from grantloom.plans import extract
 from grantloom.sources import landing, lookups, reports, staging, stored, workbooks
+from grantloom.sources.buckets import Buckets
 
 HEADER = [
     "Código",
@@ -279,3 +281,34 @@ def test_lookups_and_landing(spark, books):
     (books / "note.txt").write_text("x")
     files = landing.landed_files(spark, str(books))
     assert {r["extension"]: r["arquivos"] for r in landing.count_by_extension(files).collect()} == {"xlsx": 7, "csv": 1, "xls": 1}
+
+
+def test_buckets_rewrite_only_what_changes_touch(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    table = Buckets(spark, str(tmp_path / "t"), "k", schema, buckets=8, keep=2)
+    rows = [(str(i), i) for i in range(60)] + [(None, -1)]
+    assert table.write(spark.createDataFrame(rows, schema), 0).count() == 61
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "files").rglob("*.parquet")}
+
+    def replace(old, new):
+        return old.join(new.select("k"), "k", "left_anti").unionByName(new)
+
+    before = files()
+    after = table.change(spark.createDataFrame([("7", 700), ("new", 1)], schema), 0, 1, replace)
+    want = {**dict(rows), "7": 700, "new": 1}
+    assert {r["k"]: r["v"] for r in after.collect()} == want
+    now = files()
+    assert before.items() <= now.items()  # nothing that lay there was written again
+    assert len({p.parent.name for p in now if p not in before}) <= 2
+    assert {r["k"]: r["v"] for r in table.read(0).collect()} == dict(rows)
+    # an empty change set writes no rows; versions beyond the kept ones go
+    table.change(spark.createDataFrame([], schema), 1, 2, replace)
+    assert table.versions() == [1, 2] and {r["k"]: r["v"] for r in table.read(2).collect()} == want
+    table.change(spark.createDataFrame([("7", 701)], schema), 2, 3, replace)
+    assert {r["k"]: r["v"] for r in table.read(3).collect()} == {**want, "7": 701}
+    assert {r["k"]: r["v"] for r in table.read(2).collect()} == want
+    # a step done again leaves the same behind
+    again = table.change(spark.createDataFrame([("7", 701)], schema), 2, 3, replace)
+    assert {r["k"]: r["v"] for r in again.collect()} == {**want, "7": 701}
