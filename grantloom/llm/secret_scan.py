@@ -5,7 +5,8 @@ place (``pwd: ...``, ``passphrase is ...``, ``Bearer ...``) is priced by the che
 guess it: dynamic programming over its characters, where a stretch may be a known word, a date,
 a repeated character, a walk along the keyboard or through the alphabet, or brute force. The
 cost is in bits; a value of at least ``LEAST_BITS`` becomes a span of kind ``guess``, unless it
-overlaps a span of the patterns.
+overlaps a span of the patterns. A value is the whole run of visible characters, however long;
+pricing takes time in proportion to it and stops once no way can stay below ``LEAST_BITS``.
 
 Offsets are code points, ends exclusive. Null text: no spans. Texts are scanned whole, row by
 row, so repeated rows give equal results, and nothing is shuffled.
@@ -31,13 +32,15 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 #: A value counts as a secret from this many bits on.
 LEAST_BITS = 40.0
 MASK = "[SECRET]"
+#: Equal characters that a word, a date or a walk may share with a run beside it, at most.
+EDGE = 8
 
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]{%d,}" % (LEAST_ACCESS - 4))
 _HEX = re.compile(rb"[0-9a-f]{%d,}" % LEAST_HEX)
 _PLACE = re.compile(
     rb"""\b(?:(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|api[_-]?key|auth[_-]?key|access[_-]?key|private[_-]?key)"""
-    rb"""["']?\x20*(?:[:=]|\x20is\x20)|bearer\x20)\x20*["']?([!-~]{6,200})""",
+    rb"""["']?\x20*(?:[:=]|\x20is\x20)|bearer\x20)\x20*["']?([!-~]{6,})""",
     re.I,
 )
 _ASSIGN_WORDS = (b"passw", b"secret", b"token", b"api")
@@ -67,13 +70,20 @@ def _brute(value: str) -> float:
 
 
 @lru_cache(100_000)
-def guess_bits(value: str) -> float:
-    """Least bits it takes to guess ``value``, over all ways to divide it."""
+def guess_bits(value: str, enough: float = math.inf) -> float:
+    """Least bits it takes to guess ``value``, over all ways to divide it.
+
+    Where every way costs ``enough`` before its end, a lower bound of at least that is returned.
+    """
     n, low = len(value), value.lower()
     brute = _brute(value)
     cost = [0.0] + [math.inf] * n
+    first = last = far = 0  # the run of one character around i, and the furthest place reached
     for i in range(n):
         here = cost[i]
+        # every division goes on from a place ahead that has been reached
+        if here >= enough and far - i <= 64 and min(cost[i : far + 1]) >= enough:
+            return min(cost[i : far + 1])
         reach = [(i + 1, brute)]
         for size in _BY_SIZE:
             part = low[i : i + size]
@@ -82,10 +92,13 @@ def guess_bits(value: str) -> float:
         date = _DATES.match(value, i)
         if date:
             reach.append((date.end(), math.log2(365 * 100)))
-        j = i + 1
-        while j < n and value[j] == value[i]:
-            j += 1
-            if j - i >= 3:
+        if i == last:
+            first = i
+            while last < n and value[last] == value[i]:
+                last += 1
+        # inside a run, words, dates and walks hold few equal characters, and to break it up otherwise costs more
+        if i - first <= EDGE:
+            for j in range(max(i + 3, last - EDGE), last + 1):
                 reach.append((j, brute + math.log2(j - i)))
         for walk in _WALKS:
             at, j = walk.find(low[i]), i + 1
@@ -96,9 +109,16 @@ def guess_bits(value: str) -> float:
         for j, bits in reach:
             # one bit for each seam
             cost[j] = min(cost[j], here + bits + (1.0 if bits != brute or j > i + 1 else 0.0))
+            far = max(far, j)
     return cost[n]
 
 
+def hard_to_guess(value: str) -> bool:
+    # the table of known prices holds no long values
+    price = guess_bits if len(value) <= 200 else guess_bits.__wrapped__
+    return price(value, LEAST_BITS) >= LEAST_BITS
+
+
 def spans(text: bytes) -> list[tuple[int, str, int]]:
     """``(start, kind, end)`` in code points, by start, then kind as listed."""
     low = text.lower()
@@ -115,7 +135,7 @@ def spans(text: bytes) -> list[tuple[int, str, int]]:
             a, b = m.start(1), m.start(1) + len(value)
             if any(x < b and a < y for x, y, _ in taken):
                 continue
-            if guess_bits(value.decode("latin-1")) >= LEAST_BITS:
+            if hard_to_guess(value.decode("latin-1")):
                 found.append((a, b, 3))
     found.sort(key=lambda x: (x[0], x[2], x[1]))
     if text.isascii() or not found:

@@ -313,6 +313,20 @@ def test_guesses():
     assert kinds["passphrase is changeme"] == []
 
 
+def test_long_values_are_masked_whole():
+    rng = random.Random(3)
+    for size in (201, 660, 200_000):
+        value = "".join(rng.choice("GHJKLMPQghjkmnpqrst0123456789-_") for _ in range(size - 1)) + "Z"
+        for place in ("Bearer ", "pwd=", "auth_key: "):
+            text = f"é {place}{value} end"
+            assert secret_scan.mask(text, secret_scan.spans(text.encode())) == f"é {place}[SECRET] end"
+    # easy however long, and priced in linear time
+    assert secret_scan.spans(b"pwd: " + b"w" * 300_000) == []
+    for value in ("a" * 40, "passworddddddddddddddddddddddd11111111111999", "1" * 30 + "2019", "x7" + "aaaa" * 8 + "admin!K9"):
+        assert secret_scan.guess_bits(value) == pytest.approx(brute_bits(value)), value
+        assert (secret_scan.guess_bits(value, 40.0) >= 40) == (brute_bits(value) >= 40)
+
+
 def text_of(text, span):
     return text[span[0] : span[2]]
 
