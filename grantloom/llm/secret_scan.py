@@ -4,8 +4,9 @@ The patterns find assignments, access keys and hex strings. Besides, a value in
 place (``pwd: ...``, ``passphrase is ...``, ``Bearer ...``) is priced by the cheapest way to
 guess it: dynamic programming over its characters, where a stretch may be a known word, a date,
 a repeated character, a walk along the keyboard or through the alphabet, or brute force. The
-cost is in bits; a value of at least ``LEAST_BITS`` becomes a span of kind ``guess``, unless it
-overlaps a span of the patterns. A value is the whole run of visible characters, however long;
+cost is in bits; a value of at least ``LEAST_BITS`` becomes a span of kind ``guess``, unless
+spans of the patterns cover it whole. The place's name may be part of a longer one
+(``DB_PASSWORD``, ``aws_secret_access_key``, ``clientSecret``). A value is the whole run of visible characters, however long;
 pricing takes time in proportion to it and stops once no way can stay below ``LEAST_BITS``.
 
 Offsets are code points, ends exclusive. Null text: no spans. Texts are scanned whole, row by
@@ -14,6 +15,7 @@ row, so repeated rows give equal results, and nothing is shuffled.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -38,11 +40,18 @@ EDGE = 8
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]{%d,}" % (LEAST_ACCESS - 4))
 _HEX = re.compile(rb"[0-9a-f]{%d,}" % LEAST_HEX)
+# a place is found by its whole name, so that each name is read once; then the name is looked at
 _PLACE = re.compile(
-    rb"""\b(?:(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|api[_-]?key|auth[_-]?key|access[_-]?key|private[_-]?key)"""
-    rb"""["']?\x20*(?:[:=]|\x20is\x20)|bearer\x20)\x20*["']?([!-~]{6,})""",
+    rb"""(?<![A-Za-z0-9_-])(?:([A-Za-z0-9_-]++)["']?\x20*(?:[:=]|\x20is\x20)|[A-Za-z0-9_-]*?(?<![A-Za-z0-9])bearer\x20)\x20*["']?""",
     re.I,
 )
+_NAME = re.compile(
+    rb"""(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"""
+    rb"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|api[_-]?key|auth[_-]?key|access[_-]?key|private[_-]?key)"""
+    rb"""(?:$|(?=[_0-9])|(?-i:(?<=[a-z])(?=[A-Z]))|(?=-(?:key|secret|token|value)))""",
+    re.I,
+)
+_VALUE = re.compile(rb"[!-~]{6,}")
 _ASSIGN_WORDS = (b"passw", b"secret", b"token", b"api")
 _PLACE_WORDS = (b"passw", b"passphrase", b"passcode", b"pwd", b"secret", b"token", b"credential", b"key", b"bearer")
 
@@ -119,6 +128,32 @@ def hard_to_guess(value: str) -> bool:
     return price(value, LEAST_BITS) >= LEAST_BITS
 
 
+def _guesses(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Values that are hard to guess and that the spans ``base`` do not cover whole."""
+    covered: list[list[int]] = []
+    for a, b, _ in sorted(base):
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    found, at = [], 0
+    while place := _PLACE.search(text, at):
+        at = place.end()
+        if place[1] is not None and not _NAME.search(place[1]):
+            continue
+        run = _VALUE.match(text, at)
+        if not run:
+            continue
+        a, b = at, at + len(run[0].rstrip(b".,;:!?)\"'"))
+        k = bisect.bisect_right(covered, a, key=lambda x: x[0]) - 1
+        if k >= 0 and covered[k][1] >= b:
+            at = max(at, b)
+        elif hard_to_guess(text[a:b].decode("latin-1")):
+            found.append((a, b))
+            at = run.end()
+    return found
+
+
 def spans(text: bytes) -> list[tuple[int, str, int]]:
     """``(start, kind, end)`` in code points, by start, then kind as listed."""
     low = text.lower()
@@ -129,14 +164,7 @@ def spans(text: bytes) -> list[tuple[int, str, int]]:
         found += [(*m.span(), 1) for m in _ACCESS.finditer(text)]
     found += [(*m.span(), 2) for m in _HEX.finditer(text)]
     if any(w in low for w in _PLACE_WORDS):
-        taken = sorted(found)
-        for m in _PLACE.finditer(text):
-            value = m[1].rstrip(b".,;:!?)\"'")
-            a, b = m.start(1), m.start(1) + len(value)
-            if any(x < b and a < y for x, y, _ in taken):
-                continue
-            if hard_to_guess(value.decode("latin-1")):
-                found.append((a, b, 3))
+        found += [(a, b, 3) for a, b in _guesses(text, found)]
     found.sort(key=lambda x: (x[0], x[2], x[1]))
     if text.isascii() or not found:
         return [(a, KINDS[k], b) for a, b, k in found]

@@ -327,6 +327,26 @@ def test_long_values_are_masked_whole():
         assert (secret_scan.guess_bits(value, 40.0) >= 40) == (brute_bits(value) >= 40)
 
 
+def test_compound_names_and_values_wider_than_base_spans():
+    for name, value in (
+        ("aws_secret_access_key = ", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("DB_PASSWORD=", "x7#Kp9!mQz2"), ("SECRET_KEY_BASE: ", "x7#Kp9!mQz2"),
+        ("clientSecret: '", "x7#Kp9!mQz2"), ("my-api-key is ", "x7#Kp9!mQz2"), ("token: secret: ", "x7#Kp9!mQz2"), ("a=b;DB_PASSWD=", "x7#Kp9!mQz2"),
+    ):
+        text = f"日 {name}{value} end"
+        found = secret_scan.spans(text.encode())
+        assert [text_of(text, x) for x in found if x[1] == "guess"] == [value], text
+        assert secret_scan.mask(text, found) == f"日 {name}[SECRET] end"
+    text = "password: Abcdef123456!x9#Lm2 end"
+    found = secret_scan.spans(text.encode())
+    assert [x for x in found if x[1] != "guess"] == plain_spans(text) != []
+    assert secret_scan.mask(text, found) == "[SECRET] end"
+    for text in ("tokenizer: x7#Kp9!mQz2", "Secretary: x7#Kp9!mQz2", "SECRETARY: x7#Kp9!mQz2", "password-reset: x7#Kp9!mQz2"):
+        assert secret_scan.spans(text.encode()) == []
+    # in time proportional to the text
+    for part in ("token=", "secret_", "token = ", "password=a ", "bearer-"):
+        secret_scan.spans(part.encode() * 40_000)
+
+
 def text_of(text, span):
     return text[span[0] : span[2]]
 
