@@ -47,3 +47,15 @@ def test_stage_columns(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, df, str(tmp_path)).schema.names == df.schema.names
         assert stage(spark, df.limit(0), str(tmp_path)).collect() == []
+
+
+def test_edited_copies_leave_the_corpus(spark, tmp_path):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    text = [rng.choice(words) for _ in range(200)]
+    edited = [" ".join([*text[:a], "new", *text[a + 1 :]]) for a in (20, 90, 150)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*edited, " ".join(reversed(text))])]
+    prints = [simhash.fingerprint(t.encode()) for t in edited]
+    assert max((a ^ b).bit_count() for a in prints for b in prints) > 3
+    left = corpus_pipeline.drop_near_copies(spark, docs(spark, rows), str(tmp_path))
+    assert {r.doc_id for r in left.collect()} == {0, 3}
