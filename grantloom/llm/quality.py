@@ -34,8 +34,8 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 SUPPORT, STEPS, LEAST_ROWS = 0.75, 4, 100
 #: Parts into which the rows of one estimate are dealt.
 PARTS = 64
-#: Chance of a normal vector beyond the limit.
-BEYOND = 1e-9
+#: Chance of a normal vector beyond the limit: one sound document in a million is given up.
+BEYOND = 1e-6
 #: Least spread of each statistic: differences below are never remarkable.
 SPREADS = {"size": 0.4, "length": 0.05, "symbols": 0.35, "lines": 0.5, "repeats": 0.5, "capitals": 0.35, "digits": 0.35}
 

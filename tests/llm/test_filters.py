@@ -149,6 +149,18 @@ def test_verdicts(spark):
     assert set(range(400)) <= kept and None in kept and not kept & set(range(900, 905))
 
 
+def test_plain_outliers_are_rejected(spark):
+    """Texts with ever more bars between words, up to distances far beyond what chance explains."""
+    words = PROSE.split()[:40]
+    barred = [(900 + i, " ".join(w + " |" * (j < i) for j, w in enumerate(words)), "en", "s1", 1) for i in range(1, 40)]
+    got = quality.verdicts(docs(spark, prose_rows() + barred)).collect()
+    limit = quality.chi_square_limit(1e-6, 7)
+    assert any(limit < r.distance < quality.chi_square_limit(1e-9, 7) for r in got)
+    for r in got:
+        assert r.kept == (not r.base_failed and r.distance <= limit)
+    assert set(range(400)) <= {r.doc_id for r in got if r.kept}
+
+
 def test_estimates_like_numpy(spark):
     """One group, against the same steps over an array."""
     rng = np.random.default_rng(0)
