@@ -24,6 +24,7 @@ null document ids stay null. An empty table gives no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -80,6 +81,19 @@ def loaded(path: str) -> pretokens.WordIds:
     return pretokens.WordIds(encode)
 
 
+@lru_cache(2)
+def added_tokens(path: str) -> tuple[re.Pattern[bytes] | None, dict[bytes, int]]:
+    """Pattern and ids of the tokens that a tokenizer file adds to its model, which are found before words are."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens must stand for their own text alone")
+    ids = {t["content"].encode(): t["id"] for t in added if t["content"]}
+    # the leftmost, and of those the longest
+    by_size = sorted(ids, key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, by_size))) if ids else None, ids
+
+
 def plan(ends: np.ndarray, penalties: np.ndarray, window: int, least: int = LEAST) -> list[int]:
     """Which of ``ends`` (rising, over 0, steps of at most ``window``) windows end at; the last always.
 
@@ -215,9 +229,13 @@ def pack(
     sentence_penalty: float = SENTENCE_PENALTY,
     inner_penalty: float = INNER_PENALTY,
     block: int = BLOCK,
+    added: bool = False,
 ) -> DataFrame:
     """One row for each part of a document in a sequence.
 
+    With ``added``, text that spells one of the file's added tokens gets that token's id, as the
+    tokenizer of the file gives it; otherwise it is text like any other.
+
     ``start`` (its document's ids before it), ``length``, ``ids_crc32`` (unsigned, of the ids as
     little-endian unsigned 32-bit numbers), ``doc_tokens``, ``sequence_id``, ``offset``.
     """
@@ -226,6 +244,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = loaded(path)
+        special = added_tokens(path) if added else (None, {})
         packer = Packer(window, sentence_penalty, inner_penalty, block, TaskContext.get().partitionId() << 40)
         id_type = pa.int64()
 
@@ -237,14 +256,16 @@ def pack(
         for batch in batches:
             id_type = batch.schema.field(doc_id).type
             names = batch.column(doc_id).to_pylist()
-            for i, parts, breaks in _tokens(batch, text, words):
+            for i, parts, breaks in _tokens(batch, text, words, *special):
                 yield from rows(packer.add(names[i], parts, breaks))
         yield from rows(packer.settle(last=True))
 
     return texts.narrow(df, doc_id, text).mapInArrow(run, schema)
 
 
-def _tokens(batch: pa.RecordBatch, text: str, words: pretokens.WordIds) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+def _tokens(
+    batch: pa.RecordBatch, text: str, words: pretokens.WordIds, added: re.Pattern[bytes] | None, added_ids: dict[bytes, int]
+) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
     """Row, ids, and ids before each sentence, of every text of a batch."""
     raw, offsets = texts.buffers(batch.column(text))
     for a, b in texts.row_slices(offsets):
@@ -252,15 +273,38 @@ def _tokens(batch: pa.RecordBatch, text: str, words: pretokens.WordIds) -> Itera
         breaks: list[list[np.ndarray]] = [[] for _ in range(b - a)]
         size = [0] * (b - a)
         whole = raw[offsets[a] : offsets[b]].tobytes()
-        for piece, cuts, owner in pretokens.pieces(whole, offsets[a : b + 1] - offsets[a], texts.SLICE_BYTES):
+        bounds, row_of, token = offsets[a : b + 1] - offsets[a], range(b - a), None
+        if added and added.search(whole):
+            bounds, row_of, token = _segments(whole, bounds, added, added_ids)
+        for piece, cuts, owner in pretokens.pieces(whole, bounds, texts.SLICE_BYTES):
             ids, begin, before = words.of(piece, cuts)
             at = before[np.searchsorted(begin, cuts)]
             ended = before[sentence_starts(piece, begin)] if len(begin) else at[:0]
             split = np.searchsorted(ended, at).tolist()
             at = at.tolist()
-            for k, row in enumerate(owner.tolist()):
-                parts[row].append(ids[at[k] : at[k + 1]])
-                breaks[row].append(ended[split[k] : split[k + 1]] - at[k] + size[row])
-                size[row] += at[k + 1] - at[k]
+            for k, segment in enumerate(owner.tolist()):
+                row = row_of[segment]
+                found, stops = ids[at[k] : at[k + 1]], ended[split[k] : split[k + 1]] - at[k]
+                if token and token[segment] is not None:
+                    found, stops = np.array([token[segment]], ids.dtype), stops[stops == 0]
+                parts[row].append(found)
+                breaks[row].append(stops + size[row])
+                size[row] += len(found)
         for row in range(b - a):
             yield a + row, parts[row], np.concatenate([np.zeros(0, np.int64), *breaks[row]])
+
+
+def _segments(
+    raw: bytes, offsets: np.ndarray, added: re.Pattern[bytes], added_ids: dict[bytes, int]
+) -> tuple[np.ndarray, list[int], list[int | None]]:
+    """Texts divided at added tokens: bounds, and each segment's text and id (``None`` if it is text)."""
+    bounds, row_of, token = [0], [], []
+    for row, (at, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        for match in added.finditer(raw, at, end):
+            bounds += [match.start(), match.end()]
+            row_of += [row, row]
+            token += [None, added_ids[match[0]]]
+        bounds.append(end)
+        row_of.append(row)
+        token.append(None)
+    return np.array(bounds, np.int64), row_of, token

@@ -37,7 +37,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
-    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

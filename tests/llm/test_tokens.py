@@ -117,6 +117,34 @@ def test_pack(spark):
     assert padded < 0.04 * sum(sizes)
 
 
+def test_added_tokens_like_the_tokenizer_as_loaded(spark):
+    end = "<|endoftext|>"
+    texts = [*ODD, end, end * 3, f"a.{end} B {end}\n", "<|endoftext", "|>" + end[2:], f"{PROSE}{end}{PROSE}", f"it{end}'s é{end}é"]
+    rows = doc_rows(texts)
+    tokenizer = Tokenizer.from_file(JSON)
+    want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t, *_ in rows}
+    assert want[texts.index("<|endoftext|> is text")][0] == 50256
+    for found in (pieces(docs(spark, rows).coalesce(1), added=True, window=64), pieces(docs(spark, rows).repartition(3), added=True)):
+        for i, ids in want.items():
+            at = 0
+            for r in sorted((r for r in found if r.doc_id == i), key=lambda r: r.start):
+                assert r.start == at and r.doc_tokens == len(ids)
+                assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+                at += r.length
+            assert at == len(ids)
+
+
+def test_queries_pack_with_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from grantloom.llm import queries
+
+    df = docs(spark, doc_rows(["<|endoftext|> is text"]))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    crc = zlib.crc32(np.array([50256, 318, 2420, 1], "<u4").tobytes())
+    for found in (queries.op3_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, df, str(tmp_path))):
+        assert [r.ids_crc32 for r in found.collect()] == [crc]
+
+
 def test_pack_null_ids_and_equal_rows(spark):
     rows = [(None, "a b", "en", "s", 3), (7, "a b", "en", "s", 3), (7, "a b", "en", "s", 3)]
     found = pieces(docs(spark, rows))
