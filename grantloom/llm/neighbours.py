@@ -4,12 +4,13 @@ Equal vectors are one node, so copies of a vector, however many, cost one. The f
 comes from a few random orders: nodes are sorted by the signs of random projections and
 compared within short runs of the order. Then every round sends each node's neighbours, and
 the nearest of those that list it, to the node, compares all of them there, and offers each
-pair to both ends: neighbours of neighbours become neighbours. All of this is joins, sorts and
+pair to both ends: neighbours of neighbours become neighbours. Rounds end when one replaces
+less than the share ``SETTLED`` of all neighbours. All of this is joins, sorts and
 grouped top-k steps in Spark; a task holds the few vectors of one node at a time.
 
 A query starts at a node and keeps a beam of the nearest nodes seen. Every hop looks at the
 neighbours of all nodes of the beam not yet looked at, for all queries at once, until nothing
-is left to look at or ``HOPS`` are done. Distances are Euclidean, in double precision.
+is left to look at: every node is met once by a query, so this ends. Distances are Euclidean, in double precision.
 
 Vectors that are null, zero, hold nulls or non-finite components, or differ from the most
 common length take no part, neither do rows without an id. Rows that repeat an id count once
@@ -35,9 +36,10 @@ NEAREST = 10
 DEGREE, REVERSE = 30, 20
 #: Random orders of the first graph, nodes compared in a run, projections of an order.
 ORDERS, RUN, SIGNS, SEED = 6, 96, 24, 11
-ROUNDS = 3
-#: Nodes that a query keeps, and the most steps it takes.
-BEAM, HOPS = 220, 10
+#: Rounds go on until one replaces less than this share of all neighbours.
+SETTLED = 0.01
+#: Nodes that a query keeps.
+BEAM = 220
 
 _EDGE = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType()), T.StructField("d", T.DoubleType())])
 
@@ -157,11 +159,11 @@ def _graph_of(edges: DataFrame, degree: int) -> DataFrame:
 
 
 def build_graph(
-    nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, orders: int = ORDERS, run: int = RUN, rounds: int = ROUNDS
+    nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, orders: int = ORDERS, run: int = RUN, settled: float = SETTLED
 ) -> DataFrame:
     """``u, v, d``: about the ``degree`` nearest nodes of each of ``nodes (node, vector)``."""
     graph = shared.keep(_first_graph(nodes, degree, orders, run))
-    for _ in range(rounds):
+    while True:
         listed = _top(graph.select(F.col("v").alias("centre"), F.col("u").alias("node"), "d"), "centre", reverse, "d", "node").drop("d")
         around = graph.select(F.col("u").alias("centre"), F.col("v").alias("node")).unionByName(listed)
         around = around.unionByName(graph.select(F.col("u").alias("centre"), F.col("u").alias("node")).distinct()).distinct()
@@ -171,8 +173,11 @@ def build_graph(
         sent = around.join(known, "node").repartition("centre").sortWithinPartitions("centre", "node")
         offered = sent.mapInArrow(lambda batches: _compare(_groups(batches, "centre"), degree), _EDGE)
         last, graph = graph, shared.keep(_graph_of(offered.unionByName(graph), degree))
+        replaced = graph.join(last, ["u", "v"], "left_anti").count()
         shared.drop(last)
-    return graph
+        # lists only ever get nearer, so a settled graph replaces nothing
+        if replaced <= settled * graph.count():
+            return graph
 
 
 def _measure(pairs: DataFrame) -> DataFrame:
@@ -188,7 +193,7 @@ def _measure(pairs: DataFrame) -> DataFrame:
     return pairs.select("q", "node", "a", "b").mapInArrow(run, "q long, node long, d double")
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
     """``q, node, d``: the nearest ``beam`` nodes found for each of ``queries (q, vector, start)``."""
     near = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
     asked = queries.select("q", F.col("vector").alias("a"))
@@ -198,7 +203,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = B
 
     start = shared.keep(measured(queries.select("q", F.col("start").alias("node"))))
     met, best = [start], start.withColumn("looked", F.lit(False))
-    for _ in range(hops):
+    while True:
         ahead = best.filter(~F.col("looked")).select("q", "node")
         reached = ahead.join(near, "node").select("q", F.col("next").alias("node")).distinct()
         for part in met:

@@ -51,3 +51,13 @@ def test_fewer_candidates_than_asked(spark):
     assert sorted((r["rank"], r.vec_id) for r in got) == [(1, 2), (2, 1)]
     assert neighbours.nearest(spark.createDataFrame(rows[:1], SCHEMA), F.col("vec_id") == 0).collect() == []
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") == 0).collect() == []
+
+
+def test_search_until_nothing_is_open(spark):
+    """A chain far longer than ten hops: the query walks it to its end."""
+    n = 16
+    nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "node long, vector array<double>")
+    graph = spark.createDataFrame([(i, i + 1, 1.0) for i in range(n - 1)], "u long, v long, d double")
+    query = spark.createDataFrame([(0, [float(n), 1.0], 0)], "q long, vector array<double>, start long")
+    found = neighbours.search(graph, nodes, query, beam=3).collect()
+    assert {r.node for r in found} == {n - 1, n - 2, n - 3}
