@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, neighbours, packing, quality, secret_scan, simhash, toxicity, urls
+from . import bpe, centroids, chat, infill, langid, neighbours, packing, quality, secret_scan, simhash, token_counts, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,27 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_read(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are over 4096."""
+    return token_counts.counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 4096)
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for filling in the middle, and restored from that."""
+    cut, names = infill.transform(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    back, text = infill.restore(cut, names.output, names.form)
+    digest = lambda name: F.sha2(F.col(name), 256)
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(names.output).alias("output_sha256"), digest(text).alias("restored_sha256"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its cluster."""
+    return centroids.with_inertia(*centroids.clusters(_read(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,9 +111,32 @@ QUERIES: dict[str, Query] = {
         op8_url_filter,
         op9_language,
         op10_secrets,
+        op11_token_counts,
+        op12_infill,
+        op13_centroids,
     )
 }
 
+def _rounds(rounds: int = centroids.ROUNDS) -> str:
+    """The rounds of op13: assignments ``a<i>`` to centroids ``c<i>``, one pair of tables a round."""
+    assign = """
+a{i} as materialized (
+  select vec_id, v, k as cluster, d as distance from (
+    select vec_id, v, k, list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) as d,
+      row_number() over (partition by n order by d, k) as place
+    from kept cross join c{i})
+  where place = 1)"""
+    move = """,
+c{j} as materialized (
+  select k, coalesce(m, c) as c from c{i} left join (
+    select cluster, list(mean order by i) as m from (
+      select cluster, i, cast(floor(sum(x) / count(*)) as bigint) as mean
+      from (select cluster, unnest(v) as x, generate_subscripts(v, 1) as i from a{i})
+      group by cluster, i)
+    group by cluster) on cluster = k),"""
+    return "".join(assign.format(i=i) + (move.format(i=i, j=i + 1) if i < rounds else "") for i in range(rounds + 1))
+
+
 ORACLE: dict[str, str] = {
     "op8_url_filter": r"""
 with parts as (
@@ -121,5 +165,39 @@ select page_id, host, path, rule,
     when listed then 'block' else 'allow' end as verdict,
   listed
 from ruled
+""",
+    "op12_infill": """
+with drawn as (
+  select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n, sha256('1:' || coalesce(doc_id::varchar, '')) as h
+  from documents),
+numbers as (
+  select *, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+  from drawn),
+cut as (
+  select doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from numbers),
+parts as (
+  select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle, substr(text, b + 1) as suffix from cut)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+""",
+    "op13_centroids": """
+with kept as materialized (
+  select vec_id, row_number() over () as n, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 as materialized (
+  select row_number() over (order by name, v) - 1 as k, v as c
+  from (select sha256('2:' || coalesce(vec_id::varchar, '')) as name, v from kept order by name, v limit 40)),"""
+    + _rounds()
+    + """
+select vec_id, cluster::int as cluster, distance::bigint as distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia,
+  sum(distance) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a5 join c5 on k = cluster
 """,
 }

@@ -16,6 +16,9 @@ CONTRACT = {
     "op8": ["page_id", "host", "path", "rule", "verdict"],
     "op9": ["doc_id", "held_out", "lang_pred", "score"],
     "op10": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op11": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op12": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 
 
