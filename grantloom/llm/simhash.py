@@ -8,13 +8,6 @@ order by one task, which walks it breadth first and gives back a spanning forest
 all pairs. Files over ``chunk`` fingerprints are passed on in chunks, and every two chunks are
 walked by a task of their own, so no task holds more than two chunks, and no link is lost.
 
-``one_of_each`` goes by likeness instead, for which three bits are too narrow: texts whose sets of
-five-word shingles have a Jaccard of 0.8 or more are copies. Equal sets are one node. Nodes that
-agree on one of ``BANDS`` bands of ``ROWS`` minima are candidates, and each candidate pair is
-verified on the sets themselves: first every node of a band against the band's least node, then
-all pairs of a band that those links leave in different groups. A pair of exactly 0.8 shares no
-band with chance (1 - 0.8**ROWS)**BANDS, 5e-7; more alike ones are missed less often still.
-
 Null and empty texts have fingerprint zero and link like any other. Repeated rows come back
 row by row. A null id never names a component; a group without any id has a null component.
 """
@@ -39,9 +32,6 @@ WORDS, SEED, BITS = 3, 42, 3
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Different fingerprints of one file that a task walks at once.
 CHUNK = 4096
-#: Words of a shingle and least Jaccard (a fraction) of copies; bands of minima, and minima of a band.
-COPY_WORDS, ALIKE = 5, (4, 5)
-BANDS, ROWS = 28, 4
 
 
 def fingerprint(text: bytes) -> int:
@@ -246,100 +236,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", c
     return docs.join(known, "print").select("doc_id", "print", "component_id")
 
 
-_FACTORS = np.random.default_rng(SEED).integers(1 << 63, size=(2, BANDS * ROWS), dtype=np.uint64) * 2 + 1
-_SIGNED = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-_SET = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
-
-
-def _shingles(text: bytes) -> tuple[bytes, np.ndarray]:
-    """Name and hashes of a text's set of shingles."""
-    found = np.unique(_hashes(text, COPY_WORDS))
-    return xxhash.xxh3_128_digest(found.astype("<u8").tobytes()), found
-
-
-def _bands(shingles: np.ndarray) -> np.ndarray:
-    """A number for the minima of each band."""
-    if not len(shingles):
-        return np.zeros(BANDS, np.int64)
-    mixed = shingles ^ (shingles >> np.uint64(29))
-    least = np.array([(mixed * a ^ b).min() for a, b in _FACTORS.T], np.uint64)
-    rows = least.astype("<u8").reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
-
-
-def _signed(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``node`` and ``bands`` of each text."""
-
-    def work(batches):
-        for batch in batches:
-            found = [(name, _bands(x)) for name, x in map(_shingles, texts.each_text(batch, text))]
-            bands = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
-            offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * BANDS)
-            yield batch, [pa.array([name for name, _ in found], pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(bands))]
-
-    return texts.extend(df, _SIGNED, work)
-
-
-def _sets(df: DataFrame, text: str) -> DataFrame:
-    """``node, shingles`` of each text of ``df``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = texts.buffers(batch.column(text))
-            for a, b in texts.row_slices(offsets):
-                found = [_shingles(raw[x:y].tobytes()) for x, y in zip(offsets[a:b].tolist(), offsets[a + 1 : b + 1].tolist())]
-                ends = np.cumsum([0, *(len(x) for _, x in found)]).astype(np.int32)
-                values = pa.array(np.concatenate([np.zeros(0, np.uint64), *(x for _, x in found)]).view(np.int64))
-                lists = pa.ListArray.from_arrays(pa.array(ends), values)
-                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], pa.binary()), lists], names=_SET.names)
-
-    return df.mapInArrow(run, _SET)
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs (u, v)`` whose sets are alike."""
-    side = {x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "uv"}
-    both = pairs.join(side["u"], "u").join(side["v"], "v").withColumn("common", F.size(F.array_intersect("of_u", "of_v")))
-    least, of = ALIKE
-    return both.filter((F.size("of_u") + F.size("of_v") - F.col("common")) * least <= F.col("common") * of).select("u", "v")
-
-
-def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``component_id`` of every row, by likeness of the sets of shingles."""
-    narrow = texts.narrow(df, doc_id, text).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    docs = shared.keep(_signed(narrow, "text").drop("text"))
-    nodes = shared.keep(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")))
-    filed = nodes.select("node", F.explode("bands").alias("band"))
-    least = filed.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("band", "head")
-    filed = shared.keep(filed.join(least, "band"))
-    sets = _sets(narrow, "text").join(filed.select("node").distinct(), "node", "left_semi")
-    sets = shared.keep(sets.groupBy("node").agg(F.first("shingles").alias("shingles")))
-    near = shared.keep(_alike(filed.filter("head != node").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct(), sets))
-
-    # what the first links leave apart
-    grouped = components(near)
-    placed = filed.select("band", "node").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = shared.keep(placed)
-    split = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("band")
-    apart = placed.join(split, "band")
-    other = apart.select("band", F.col("node").alias("v"), F.col("root").alias("root_v"))
-    pairs = apart.withColumnRenamed("node", "u").join(other, "band").filter("u < v and root != root_v").select("u", "v").distinct()
-    more = shared.keep(_alike(pairs, sets))
-
-    grouped = shared.keep(components(near.unionByName(more)))
-    rooted = nodes.select("node", "least").join(grouped, "node")
-    named = rooted.select("node", "root").join(rooted.groupBy("root").agg(F.min("least").alias("group_least")), "root")
-    known = nodes.join(named.select("node", "group_least"), "node", "left")
-    known = shared.keep(known.select("node", F.coalesce("group_least", "least").alias("component_id")))
-    return docs.select("doc_id", "node").join(known, "node").select("doc_id", "component_id")
-
-
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stand for their group of copies: those whose id is its least.
+    """The rows of ``df`` that stand for their group of near duplicates: those whose id is its least.
 
     Rows that share an id count as one document; one of them stays. In a group without ids one row stays.
     """
-    found = near_copies(df, doc_id, text)
+    found = near_duplicates(df, doc_id, text)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("rows"))
     kept = shared.keep(kept)
     one, many = (texts.fresh(n, df.columns) for n in ("_single", "_many"))

@@ -7,6 +7,7 @@ from grantloom.llm import packing, quality, secret_scan, simhash, toxicity
 
 from .helpers import PROSE, docs
 from .test_filters import LABELS, toxic_corpus
+from .test_simhash import plain_groups
 from .test_tokens import check
 
 
@@ -30,8 +31,6 @@ def test_stages_in_order(spark, tmp_path):
     left = [r for r in left if r[0] in kept]
     assert not kept & {300, 301, 302} and 200 in kept
     prints = {r[0]: simhash.fingerprint(r[1].encode()) for r in left}
-    from .test_simhash import plain_groups
-
     groups = plain_groups(prints)
     left = [r for r in left if groups[r[0]] == r[0]]
     masked = [(r[0], secret_scan.mask(r[1], secret_scan.spans(r[1].encode()))) for r in left]
@@ -49,13 +48,16 @@ def test_stage_columns(spark, tmp_path):
         assert stage(spark, df.limit(0), str(tmp_path)).collect() == []
 
 
-def test_edited_copies_leave_the_corpus(spark, tmp_path):
+def test_near_copies_leave_the_corpus(spark, tmp_path):
+    """Copies within three bits go; a text that shares a large passage with them stays."""
     rng = random.Random(7)
-    words = [f"w{i}" for i in range(400)]
-    text = [rng.choice(words) for _ in range(200)]
+    words = [f"w{i}" for i in range(4000)]
+    text = [rng.choice(words) for _ in range(3000)]
     edited = [" ".join([*text[:a], "new", *text[a + 1 :]]) for a in (20, 90, 150)]
-    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*edited, " ".join(reversed(text))])]
-    prints = [simhash.fingerprint(t.encode()) for t in edited]
-    assert max((a ^ b).bit_count() for a in prints for b in prints) > 3
+    sharing = " ".join([*text[:1500], *[rng.choice(words) for _ in range(1500)]])
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*edited, sharing, " ".join(reversed(text))])]
+    prints = {i: simhash.fingerprint(t.encode()) for i, t, *_ in rows}
+    groups = plain_groups(prints)
+    assert len({prints[i] for i in range(3)}) > 1 and {groups[i] for i in range(3)} == {0}
     left = corpus_pipeline.drop_near_copies(spark, docs(spark, rows), str(tmp_path))
-    assert {r.doc_id for r in left.collect()} == {0, 3}
+    assert {r.doc_id for r in left.collect()} == set(groups.values()) == {0, 3, 4}
