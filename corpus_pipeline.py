@@ -25,7 +25,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id."""
+    """One document of each group whose fingerprints link, the one with the least id."""
     return simhash.one_of_each(docs)
 
 
