@@ -6,11 +6,12 @@ between is a pre-token, and the pieces of a text are those of its pre-tokens. Th
 the model puts in front of a text is put there first.
 
 The work is three steps. Every pre-token that occurs is found once over all texts (one
-aggregate) and its pieces are counted, by the library, once. The ``FREQUENT`` most frequent
-pre-tokens are handed to the tasks that read the texts (keys of at most ``KEY_BYTES`` + 1 bytes,
-so at most a few megabytes) and are summed there; that takes the hot keys out. The frequencies
-of all other pre-tokens are joined to the counts by key and summed by row. No other pre-token
-can make up more than one in ``FREQUENT`` of all occurrences, so the join has no hot key.
+aggregate) and its pieces are counted, by the library, once. The most frequent pre-tokens, at
+most ``FREQUENT``, are handed to the tasks that read the texts (keys of at most ``KEY_BYTES``
+bytes, so at most a few megabytes) and are summed there; that takes the hot keys out. They are
+those above a level of occurrence, which a histogram of levels gives. The frequencies
+of all other pre-tokens are joined to the counts by key and summed by row. None of these
+makes up much more than one in ``FREQUENT`` of all occurrences, so the join has no hot key.
 
 Null and empty texts have no tokens. Texts that spell special pieces are ordinary text, as the
 library has it. Every row gets a result row, repeated rows and null ids too; an empty table
@@ -19,6 +20,7 @@ gives an empty result. Other columns play no part. The longest unit held is one
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -142,13 +144,27 @@ def vocabulary(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     return each.mapInArrow(counted, "word binary, n long, pieces long").select(_key(F.col("word")).alias("key"), "n", "pieces")
 
 
+def _frequent(known: DataFrame, most: int) -> dict[bytes, int]:
+    """Pieces of the pre-tokens above the lowest level of occurrence (eighths of a doubling) that leaves at most ``most``."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    sizes = known.groupBy(level.alias("level")).count().collect()  # at most 512 levels
+    least, held = None, 0
+    for size in sorted(sizes, reverse=True):
+        held += size["count"]
+        if held > most:
+            break
+        least = size.level
+    if least is None:
+        return {}
+    return {bytes(r.key): r.pieces for r in known.filter(level >= least).select("key", "pieces").collect()}
+
+
 def counts(df: DataFrame, path: str, limit: int, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row."""
     spark = df.sparkSession
     docs = texts.narrow(df, doc_id, text).toDF("doc_id", "text")
     known = shared.keep(vocabulary(docs, path))
-    top = known.orderBy(F.desc("n"), "key").limit(frequent).select("key", "pieces").collect()
-    hot = spark.sparkContext.broadcast({bytes(r.key): r.pieces for r in top})
+    hot = spark.sparkContext.broadcast(_frequent(known, frequent))
     fields = [("key", T.BinaryType()), ("row", T.LongType()), ("n", T.LongType())]
     fields += [("doc_id", docs.schema["doc_id"].dataType), ("n_bytes", T.LongType()), ("tokens", T.LongType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
@@ -191,6 +207,5 @@ def counts(df: DataFrame, path: str, limit: int, doc_id: str = "doc_id", text: s
 
 
 def _digest(word: bytes) -> bytes:
-    import hashlib
-
+    """The key of a pre-token, as :func:`_key` has it."""
     return word if len(word) <= KEY_BYTES else hashlib.sha256(word).digest()
