@@ -6,6 +6,7 @@ can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import types as T
 from . import settings as S
 from . import standins as st
 from .functions import dates, fingerprint, money, text
-from .operators import apply, changes, checks, dedup, reconcile
+from .operators import apply, changes, checks, dedup, reconcile, settle
 from .plans import balances, extract, full_run, payroll, staffing
-from .sources import reports, stored
+from .sources import landing, reports, staging, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,8 +173,10 @@ def new_expenses(spark, d):
 
 @_query
 def apply_changes(spark, d):
-    """The whole ledger after the change set."""
-    after = apply.apply_expense_changes(st.stored_expenses(spark, d), _changes(spark, d))
+    """The whole ledger after a change set that updates some keys twice; rows in no workbook stay."""
+    before = st.stored_expenses(spark, d)
+    found = changes.detect_changes(st.repeated_expenses(spark, d), before)
+    after = apply.apply_expense_changes(before, found, order=("vez",))
     return after.withColumn("tipo_doc_despesa", F.coalesce("tipo_doc_despesa", F.lit("")))
 
 
@@ -240,10 +243,14 @@ def _income_updates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _reported_refunds(spark: SparkSession, d: str) -> DataFrame:
-    """The refund lines of the reports, written with the ledger's priority as line code."""
+    """The refund lines of the reports, written with the ledger's priority as line code.
+
+    One order in eleven goes by a contract number that the ledger does not know.
+    """
     orders = st.table(spark, d, "orders")
+    unknown = F.when(F.col("o_orderkey") % 11 == 0, F.lit(7_000_000)).otherwise(F.lit(50000))
     return orders.select(
-        (F.col("o_custkey") + F.lit(50000)).cast("string").alias("nro_sit"),
+        (F.col("o_custkey") + unknown).cast("string").alias("nro_sit"),
         F.col("o_orderpriority").alias("rubrica"),
         money.money(money.money(F.col("o_totalprice")) * F.lit("0.01").cast("decimal(3,2)")).alias("valor_estornado"),
         F.col("o_orderdate").alias("modified"),
@@ -618,6 +625,51 @@ def line_terminations(spark, d):
 def sql_views(spark, d):
     """Spend of lines whose contract has ended, asked of the ledger's views with a parameter."""
     lines, contracts, expenses = _ledger(spark, d)
-    full_run.register_views(full_run.Ledger(expenses, contracts, lines), st.AS_OF)
-    question = f"SELECT id_termo_rubrica, saldo_total_gasto FROM {full_run.VIEW_LINE_METRICS} WHERE dias_restantes < :dias"
-    return stored.run_query(spark, question, {"dias": 0})
+    question = "SELECT id_termo_rubrica, saldo_total_gasto FROM {vw_rubricas_calc} WHERE dias_restantes < :dias"
+    return full_run.ask(spark, question, full_run.Ledger(expenses, contracts, lines), {"dias": 0}, st.AS_OF)
+
+
+@_query
+def staging_round_trip(spark, d):
+    """Staged expenses written as CSV for one run, read back as text and then typed."""
+    text_ = F.concat(F.lit('"x", '), F.col("linha").cast("string"), F.lit(";\\"))
+    written = _staged_text(spark, d).withColumn("obs", F.when(F.col("linha") % 2 == 0, text_)).drop("data_debito_convenio")
+    path = staging.run_path(settle.shared_folder(spark), "despesas_csv", uuid.uuid4().hex)
+    staging.write_csv(written, path)
+    kinds = {"valor": T.DecimalType(18, 2), "data_pagamento": T.DateType(), "linha": T.IntegerType()}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in written.columns])
+    return staging.read_typed(spark, path, schema)
+
+
+@_query
+def report_scan(spark, d):
+    """A report per nation, every other one in Latin-1, written as files and read through the scan."""
+    nations = st.table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("soma"))
+    number = (F.col("c_nationkey") + 900).cast("string")
+    content = F.concat(
+        F.concat(F.lit(f"{S.MARK_SIT};"), number, F.lit(f"\n{S.MARK_INCOME}\n{S.MARK_TOTAL};R$ ")),
+        F.concat(F.col("n").cast("string"), F.lit(f",50\n{S.MARK_EXPENSES}\n3.1 - Férias;1;2;3;"), F.col("soma").cast("string")),
+    )
+    texts = nations.select("c_nationkey", content.alias("value"))
+    base = f"{settle.shared_folder(spark)}/relatos-{uuid.uuid4().hex}"
+    folders = {"UTF-8": 0, "ISO-8859-1": 1}
+    for encoding, rest in folders.items():
+        some = texts.filter(F.col("c_nationkey") % 2 == rest).repartition("c_nationkey")
+        some.write.option("encoding", encoding).partitionBy("c_nationkey").text(f"{base}/{encoding}")
+    found = reports.parse(reports.read_texts(spark, [f"{base}/{e}/*" for e in folders], "*.txt"))
+    lines = reports.lines_of(found).select("nro_sit", "rubrica", "valor_estornado")
+    return lines.join(reports.contracts_of(found).select("nro_sit", "rendimento_financeiro_total"), "nro_sit")
+
+
+@_query
+def landed_files(spark, d):
+    """Files of a landing folder by kind, with the rows they hold; an empty kind and a table that is not there."""
+    orders = st.table(spark, d, "orders").select(F.concat_ws(";", "o_orderkey", "o_orderpriority").alias("value"), "o_orderpriority")
+    base = f"{settle.shared_folder(spark)}/landing-{uuid.uuid4().hex}"
+    orders.repartition("o_orderpriority").write.option("encoding", "UTF-8").partitionBy("o_orderpriority").text(base)
+    files = landing.landed_files(spark, f"{base}/*", "*.txt")
+    waiting = checks.has_rows(files) and not checks.has_rows(landing.landed_files(spark, f"{base}/*", "*.xlsx"))
+    known = [stored.table_exists(spark, name) for name in ("no_such_table",)]
+    return landing.count_by_extension(files).select(
+        "extension", "arquivos", F.lit(waiting).alias("a_processar"), F.lit(known[0]).alias("tabela_existe")
+    )

@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import settings as S
 from ..functions import fingerprint as fp
+from ..functions import text
 from . import skew
 from .changes import ACTION
 from .dedup import last_per_key
 
-_HIT = "__hit"
+_HIT, _KEY = "__hit", "__key"
 
 
 def replace_by_key(
@@ -46,14 +48,16 @@ def apply_expense_changes(
 ) -> DataFrame:
     """Stored expenses after the UPDATE rows are set and the INSERT rows are added.
 
-    Of several updates of one key the last by ``order`` wins; inserts keep their copies.
+    Of several updates of one key the last by ``order`` wins; inserts keep their copies. The
+    changes may be those of several steps, if ``order`` begins with the step: a row that one step
+    inserts is updated by a later one.
     """
     columns = list(stored.columns)
     updates = changes.filter(F.col(ACTION) == S.UPDATE)
     inserts = changes.filter(F.col(ACTION) == S.INSERT).select(*columns)
     wanted = list(dict.fromkeys([key, *fields, *order]))
     last = last_per_key(updates.select(*wanted), [key], order)
-    return replace_by_key(stored, last, key, fields).unionByName(inserts)
+    return replace_by_key(stored.unionByName(inserts), last, key, fields)
 
 
 def apply_income(contracts: DataFrame, updates: DataFrame) -> DataFrame:
@@ -69,15 +73,17 @@ def apply_refunds(lines: DataFrame, updates: DataFrame) -> DataFrame:
 def _set_value(
     target: DataFrame, updates: DataFrame, key: str, column: str, source: str
 ) -> DataFrame:
-    schema = target.schema
+    """Text keys are compared without regard to case, as the ledger does."""
+    schema, kind = target.schema, target.schema[key].dataType
+    compared = (lambda c: text.fold_case(c)) if isinstance(kind, T.StringType) else (lambda c: c)
     one = last_per_key(
         updates.select(
-            F.col(key).try_cast(schema[key].dataType).alias(key),
+            compared(F.col(key).try_cast(kind)).alias(_KEY),
             F.col(source).cast(schema[column].dataType).alias(column),
-        ).filter(F.col(key).isNotNull()),
-        [key],
+        ).filter(F.col(_KEY).isNotNull()),
+        [_KEY],
     )
-    return replace_by_key(target, one, key, [column])
+    return replace_by_key(target.withColumn(_KEY, compared(F.col(key))), one, _KEY, [column]).drop(_KEY)
 
 
 def clear_table(df: DataFrame) -> DataFrame:

@@ -31,14 +31,29 @@ def classify(
     stored: DataFrame,
     key: str = fp.KEY,
     fields: Sequence[str] = fp.FIELDS,
+    clustered: bool = False,
+    hot: Sequence[str] = (),
 ) -> DataFrame:
     """Every incoming row with an action: INSERT, UPDATE or IGNORE.
 
-    Rows without a key are left out; they are rejects (see ``split_keyless``).
+    Rows without a key are left out; they are rejects (see ``split_keyless``). With ``clustered``
+    the stored table lies in buckets by ``key`` (``stored.write_bucketed``) and is compared where
+    it lies: only the incoming rows are shuffled. Adaptive execution cannot split a hot key there,
+    so rows of ``hot`` keys (see ``hot_keys``) stay where they are and get the few stored
+    fingerprints of these keys sent to them. Without it both sides are dealt out, and hot keys are
+    split at run time.
     """
     keyed, _ = split_keyless(incoming, key)
     new = keyed.withColumn(_NEW, F.unhex(fp.fingerprint(fields)))
-    joined = skew.lookup_join(new, stored_fingerprints(stored, key, fields), [key], "left")
+    old = stored_fingerprints(stored, key, fields)
+    if not clustered:
+        joined = skew.lookup_join(new, old, [key], "left")
+    elif not hot:
+        joined = new.join(old, key, "left")
+    else:
+        apart = F.col(key).isin(list(hot))
+        some = F.broadcast(stored_fingerprints(stored.filter(apart), key, fields))
+        joined = new.filter(~apart).join(old, key, "left").unionByName(new.filter(apart).join(some, key, "left"))
     action = (
         F.when(F.col(_OLD).isNull(), F.lit(S.INSERT))
         .when(F.col(_OLD) != F.col(_NEW), F.lit(S.UPDATE))
@@ -47,6 +62,13 @@ def classify(
     return joined.withColumn(ACTION, action).select(*incoming.columns, ACTION)
 
 
+def hot_keys(df: DataFrame, key: str = fp.KEY, share: float = 0.001) -> list[str]:
+    """Keys that hold more than ``share`` of all rows; there are fewer than 1 / ``share``. Runs a job."""
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.agg(F.count(key)).first()[0]
+    return [r[0] for r in counted.filter(F.col("n") > max(1.0, share * rows)).select(key).collect()]
+
+
 def split_keyless(df: DataFrame, key: str = fp.KEY) -> tuple[DataFrame, DataFrame]:
     """``(rows with a key, rows without)``."""
     blank = F.coalesce(text.strip(F.col(key)), F.lit("")) == ""
@@ -68,18 +90,6 @@ def count_actions(classified: DataFrame) -> DataFrame:
     return classified.groupBy(ACTION).agg(F.count(F.lit(1)).alias("registros"))
 
 
-def count_with_ignored(keyed: DataFrame, changes: DataFrame) -> DataFrame:
-    """Rows per action when only the change set was kept: what is left of ``keyed`` is IGNORE."""
-    rest = (
-        keyed.select(F.lit(1).alias("n"))
-        .unionByName(changes.select(F.lit(-1).alias("n")))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("registros"))
-        .filter(F.col("registros") > 0)
-        .select(F.lit(S.IGNORE).alias(ACTION), "registros")
-    )
-    return count_actions(changes).unionByName(rest)
-
-
 def preview(changes: DataFrame, order: Sequence[str] = (ACTION, fp.KEY), n: int = 3) -> DataFrame:
     """First ``n`` rows of a change set in a fixed order."""
     return changes.orderBy(*order).limit(n)

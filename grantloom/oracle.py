@@ -57,11 +57,17 @@ EXPENSES = """despesas AS (
   FROM orders)"""
 
 STORED = f"""guardadas AS (
-  SELECT id_codigo_sit, CAST(valor + CASE WHEN descricao_despesa = 'PEDIDO P' THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS valor
-  FROM despesas WHERE data_pagamento < '{LOADED_BEFORE}')"""
+  WITH antes AS (
+    SELECT * REPLACE (CAST(valor + CASE WHEN descricao_despesa = 'PEDIDO P' THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS valor,
+      CASE WHEN rubrica = '2-HIGH' THEN 'PEDIDO ANTIGO' ELSE descricao_despesa END AS descricao_despesa)
+    FROM despesas WHERE data_pagamento < '{LOADED_BEFORE}')
+  SELECT * FROM antes
+  UNION ALL SELECT * REPLACE ('X' || id_codigo_sit AS id_codigo_sit, 'X' AS termo, 'X-' || rubrica AS id_termo_rubrica)
+  FROM antes WHERE CAST(id_codigo_sit AS BIGINT) % 50 = 0)"""
 
 CLASSIFIED = """comparadas AS (
-  SELECT d.*, CASE WHEN g.id_codigo_sit IS NULL THEN 'INSERT' WHEN g.valor <> d.valor THEN 'UPDATE' ELSE 'IGNORE' END AS acao
+  SELECT d.*, CASE WHEN g.id_codigo_sit IS NULL THEN 'INSERT'
+    WHEN g.valor <> d.valor OR g.descricao_despesa <> d.descricao_despesa THEN 'UPDATE' ELSE 'IGNORE' END AS acao
   FROM despesas d LEFT JOIN guardadas g USING (id_codigo_sit))"""
 
 CONTRACTS = """termos AS (
@@ -194,7 +200,16 @@ ORACLE["change_preview"] = _with(*CHANGES) + """SELECT acao, id_codigo_sit, term
 ORACLE["new_expenses"] = _with(*CHANGES) + """SELECT id_codigo_sit, CAST(valor AS DOUBLE) AS valor
   FROM comparadas WHERE acao = 'INSERT'"""
 
-ORACLE["apply_changes"] = _with(EXPENSES) + f"SELECT {_COLS} FROM despesas"
+# each stored row takes the last of the incoming rows that differ from it; unknown keys are added with their copies
+ORACLE["apply_changes"] = _with(EXPENSES, STORED, """entradas AS (
+  SELECT *, 1 AS vez FROM despesas
+  UNION ALL SELECT * REPLACE (CAST(valor + 2 AS DECIMAL(18,2)) AS valor), 2 FROM despesas WHERE CAST(id_codigo_sit AS BIGINT) % 7 = 0)""",
+  """ultimas AS (
+  SELECT e.* FROM entradas e JOIN guardadas g USING (id_codigo_sit)
+  WHERE e.valor <> g.valor OR e.descricao_despesa <> g.descricao_despesa
+  QUALIFY row_number() OVER (PARTITION BY id_codigo_sit ORDER BY e.vez DESC) = 1)""") + f"""SELECT {_COLS} FROM ultimas
+  UNION ALL SELECT {_COLS} FROM guardadas WHERE id_codigo_sit NOT IN (SELECT id_codigo_sit FROM ultimas)
+  UNION ALL SELECT {_COLS} FROM entradas WHERE id_codigo_sit NOT IN (SELECT id_codigo_sit FROM guardadas)"""
 
 ORACLE["diff_idempotent"] = "SELECT 'IGNORE' AS acao, count(*) AS registros FROM orders"
 
@@ -256,6 +271,7 @@ INCOME = """novos_rendimentos AS (
 REFUNDS = """novos_estornos AS (
   SELECT u.id_termo_rubrica, u.novo FROM (
     SELECT o_custkey || '-' || o_orderpriority AS id_termo_rubrica, (CAST(round(o_totalprice * 100) AS BIGINT) + 50) // 100 AS novo FROM orders
+    WHERE o_orderkey % 11 <> 0
     QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) u
   JOIN linhas l USING (id_termo_rubrica) WHERE abs(u.novo - l.estornado) > 1)"""
 
@@ -480,3 +496,16 @@ ORACLE["contract_detail"] = _detail(
 ORACLE["line_terminations"] = _detail(f"{_has('RESCISÃO')} AND id_termo_rubrica = '7-3.1.90.11.99'")
 
 ORACLE["sql_views"] = f"SELECT id_termo_rubrica, saldo_total_gasto FROM ({ORACLE['burn_rate']}) WHERE dias_restantes < 0"
+
+ORACLE["staging_round_trip"] = """SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) END AS id_codigo_sit,
+  CASE WHEN o_orderpriority <> '2-HIGH' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS valor,
+  CASE WHEN o_orderpriority <> '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d') END AS data_pagamento,
+  CAST(o_orderkey AS INTEGER) AS linha, CASE WHEN o_orderkey % 2 = 0 THEN '"x", ' || o_orderkey || ';\\' END AS obs
+  FROM orders"""
+
+ORACLE["report_scan"] = """SELECT CAST(c_nationkey + 900 AS VARCHAR) AS nro_sit, '3.1' AS rubrica,
+  CAST(sum(c_custkey) AS DOUBLE) AS valor_estornado, count(*) + 0.5::DOUBLE AS rendimento_financeiro_total
+  FROM customer GROUP BY c_nationkey"""
+
+ORACLE["landed_files"] = """SELECT 'txt' AS extension, count(DISTINCT o_orderpriority) AS arquivos, true AS a_processar, false AS tabela_existe
+  FROM orders"""

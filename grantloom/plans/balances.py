@@ -14,6 +14,8 @@ from ..functions.dates import AsOf
 from ..operators import skew
 
 KEY = "id_termo_rubrica"
+# the line key as the ledger compares it
+_LINE = "__line"
 BEFORE, REFRESHED = "saldo_anterior", "recalculada"
 
 
@@ -22,30 +24,38 @@ def line_metrics(
 ) -> DataFrame:
     """Spend, days left and burn rate per budget line of a known contract.
 
-    Expenses are summed per line before the join, so the large table is reduced in its own
+    Line keys are compared without regard to case, as the ledger does. A line goes by its stored
+    spelling; two spellings of one line, which the ledger's unique key rules out, would each get
+    all of its expenses. Expenses are summed per line before the join, so the large table is reduced in its own
     scan tasks and only one row per line is joined. A line stored several times counts its
     expenses as many times, as joining first would.
     """
-    today = dates.as_of_date(as_of)
+    return _line_metrics(lines, contracts, expenses, as_of).drop(_LINE)
+
+
+def _line_metrics(lines: DataFrame, contracts: DataFrame, expenses: DataFrame, as_of: AsOf) -> DataFrame:
+    today, line = dates.as_of_date(as_of), text.fold_case(F.col(KEY)).alias(_LINE)
     spent = (
         expenses.filter(F.col(KEY).isNotNull())
-        .groupBy(KEY)
+        .groupBy(line)
         .agg(F.sum(money.money(F.col("valor"))).alias("__spent"), F.max("data_pagamento").alias("__last"))
     )
-    known = lines.groupBy(KEY).agg(F.count(F.lit(1)).alias("__copies"))
+    # dealt out by the compared key, which serves the grouping by spelling and the join
+    known = lines.select(KEY, line).repartition(_LINE).groupBy(_LINE, KEY).agg(F.count(F.lit(1)).alias("__copies"))
     terms = contracts.select(
         F.col("id_termo").alias("__contract"),
         F.col("data_inicio_vigencia").alias("__start"),
         F.col("data_fim_vigencia").alias("__end"),
     )
     # both sides are grouped by the line key, so this join needs no further shuffle
-    keyed = known.join(spent, KEY, "left").withColumn("__contract", text.contract_of(F.col(KEY)))
+    keyed = known.join(spent, _LINE, "left").withColumn("__contract", text.contract_of(F.col(KEY)))
     # one contract may own very many lines
     joined = skew.lookup_join(keyed, terms, ["__contract"], "inner")
     total = F.coalesce(F.col("__spent") * F.col("__copies"), F.lit(0)).cast(money.WIDE)
     months = dates.month_boundaries(F.col("__start"), F.col("__last")) + F.lit(1)
     return joined.select(
         KEY,
+        _LINE,
         today.alias("data_atual"),
         F.datediff(F.col("__end"), today).alias("dias_restantes"),
         total.alias("saldo_total_gasto"),

@@ -15,6 +15,10 @@ OK, UNREADABLE = workbooks.OK, workbooks.UNREADABLE
 NO_PAYMENT_DATE = "missing payment date"
 UNKNOWN_CONTRACT = "unknown contract"
 MISSING_COLUMN = "missing column"
+#: Why a row of a usable workbook is not loaded; the first that fits, in this order.
+NO_DATE, BAD_DATE, NO_CODE, NO_KEY = "no payment date", "bad payment date", "no line code", "no expense code"
+REASONS = (NO_DATE, BAD_DATE, NO_CODE, NO_KEY)
+REASON = "motivo"
 
 MANDATORY = (S.H_TYPE, S.H_TAX_ID, S.H_PAYEE, S.H_DESCRIPTION)
 PROVENANCE = ("source_file", "modified", "row_no")
@@ -41,41 +45,54 @@ def file_verdict(mapping: Mapping[str, str] = S.CONTRACT_BY_SIT) -> Column:
     )
 
 
-def consolidate_expenses(
-    raw: DataFrame, mapping: Mapping[str, str] = S.CONTRACT_BY_SIT, provenance: bool = False
-) -> DataFrame:
-    """Clean expenses from decoded workbooks: the thirteen columns in their order.
+def checked_expenses(raw: DataFrame, mapping: Mapping[str, str] = S.CONTRACT_BY_SIT) -> DataFrame:
+    """Every row of the usable workbooks, cleaned, with its provenance and why it is not loaded.
 
-    Rows without a payment date or a line code and files with a verdict other than ``ok``
-    are left out. With ``provenance`` the file, its time and the row number are kept, which
-    order repeated keys.
+    ``motivo`` is null for rows that can be loaded. Files with a verdict other than ``ok`` are
+    accounted for as files (``workbook_summary``).
     """
     c = {h: F.col(f"`{h}`") for h in workbooks.HEADERS}
     first, second = S.H_DEBITED_ON
     debited = F.when(F.array_contains("absent", first), c[second]).otherwise(c[first])
     contract = _contract(mapping)
     code = text.line_code(c[S.H_TYPE])
-    clean = (
-        raw.filter((F.col("row_no") > 0) & (file_verdict(mapping) == OK))
-        .select(
-            text.strip_or_blank(c[S.H_CODE]).alias("id_codigo_sit"),
-            contract.alias("termo"),
-            code.alias("rubrica"),
-            text.expense_class(c[S.H_TYPE]).alias("tipo_despesa"),
-            text.tax_id(c[S.H_TAX_ID]).alias("cpf_cnpj"),
-            text.strip_or_blank(c[S.H_PAYEE]).alias("favorecido"),
-            text.strip_or_blank(c[S.H_EXPENSE_DOC]).alias("tipo_doc_despesa"),
-            text.strip_or_blank(c[S.H_DESCRIPTION]).alias("descricao_despesa"),
-            text.strip_or_blank(c[S.H_PAYMENT_DOC]).alias("tipo_doc_pagamento"),
-            dates.parse_day_first(c[S.H_PAID_ON]).alias("data_pagamento"),
-            dates.parse_day_first(debited).alias("data_debito_convenio"),
-            money.parse_amount(c[S.H_AMOUNT]).alias("valor"),
-            text.line_key(contract, code).alias("id_termo_rubrica"),
-            *PROVENANCE,
-        )
-        .filter(F.col("data_pagamento").isNotNull() & (F.length("rubrica") > 0) & (F.length("termo") > 0))
+    clean = raw.filter((F.col("row_no") > 0) & (file_verdict(mapping) == OK)).select(
+        text.strip_or_blank(c[S.H_CODE]).alias("id_codigo_sit"),
+        contract.alias("termo"),
+        code.alias("rubrica"),
+        text.expense_class(c[S.H_TYPE]).alias("tipo_despesa"),
+        text.tax_id(c[S.H_TAX_ID]).alias("cpf_cnpj"),
+        text.strip_or_blank(c[S.H_PAYEE]).alias("favorecido"),
+        text.strip_or_blank(c[S.H_EXPENSE_DOC]).alias("tipo_doc_despesa"),
+        text.strip_or_blank(c[S.H_DESCRIPTION]).alias("descricao_despesa"),
+        text.strip_or_blank(c[S.H_PAYMENT_DOC]).alias("tipo_doc_pagamento"),
+        dates.parse_day_first(c[S.H_PAID_ON]).alias("data_pagamento"),
+        dates.parse_day_first(debited).alias("data_debito_convenio"),
+        money.parse_amount(c[S.H_AMOUNT]).alias("valor"),
+        text.line_key(contract, code).alias("id_termo_rubrica"),
+        *PROVENANCE,
+        text.blank_to_null(c[S.H_PAID_ON]).isNotNull().alias("__dated"),
     )
-    return clean.select(*S.EXPENSE_COLUMNS, *(PROVENANCE if provenance else ()))
+    reason = (
+        F.when(F.col("data_pagamento").isNull(), F.when(F.col("__dated"), F.lit(BAD_DATE)).otherwise(F.lit(NO_DATE)))
+        .when((F.coalesce(F.length("rubrica"), F.lit(0)) == 0) | (F.length("termo") == 0), F.lit(NO_CODE))
+        .when(F.length("id_codigo_sit") == 0, F.lit(NO_KEY))
+    )
+    return clean.withColumn(REASON, reason).drop("__dated")
+
+
+def consolidate_expenses(
+    raw: DataFrame, mapping: Mapping[str, str] = S.CONTRACT_BY_SIT, provenance: bool = False
+) -> DataFrame:
+    """Clean expenses from decoded workbooks: the thirteen columns in their order.
+
+    Rows without a payment date or a line code and files with a verdict other than ``ok``
+    are left out; rows without a code of their own stay (see ``changes.split_keyless``). With
+    ``provenance`` the file, its time and the row number are kept, which order repeated keys.
+    """
+    checked = checked_expenses(raw, mapping)
+    kept = checked.filter(F.col(REASON).isNull() | (F.col(REASON) == NO_KEY))
+    return kept.select(*S.EXPENSE_COLUMNS, *(PROVENANCE if provenance else ()))
 
 
 def workbook_summary(raw: DataFrame, mapping: Mapping[str, str] = S.CONTRACT_BY_SIT) -> DataFrame:
@@ -96,6 +113,6 @@ def missing_workbooks(raw: DataFrame, mapping: Mapping[str, str] = S.CONTRACT_BY
     return known.join(seen, "termo", "left_anti")
 
 
-def report_summary(texts: DataFrame) -> DataFrame:
-    """``(status, arquivos)`` of the summary reports."""
-    return reports.report_status(texts).groupBy("status").agg(F.count(F.lit(1)).alias("arquivos"))
+def report_summary(parsed: DataFrame) -> DataFrame:
+    """``(status, arquivos)`` of parsed summary reports."""
+    return reports.status_of(parsed).groupBy("status").agg(F.count(F.lit(1)).alias("arquivos"))

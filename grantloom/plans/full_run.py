@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions.dates import AsOf
 from ..operators import apply, changes, checks, reconcile
-from ..sources import reports, staging, workbooks
+from ..sources import reports, staging, stored, workbooks
 from . import balances, extract
 
 
 @dataclass(frozen=True)
 class Ledger:
-    """The stored state."""
+    """The stored state. ``clustered`` expenses lie in buckets by their key and are compared there."""
 
     expenses: DataFrame
     contracts: DataFrame
     lines: DataFrame
+    clustered: bool = False
 
 
 @dataclass(frozen=True)
@@ -41,13 +44,15 @@ class Run:
     """What a run found and left behind. ``ledger`` is the old state when not approved.
 
     ``files`` and ``reports`` count workbooks and reports by what became of them, ``missing``
-    are configured contracts without a workbook.
+    are configured contracts without a workbook. ``rejected`` are the rows of usable workbooks
+    that were not loaded, each with its reason (``motivo``), and ``read`` counts the rows by it.
     """
 
     changes: ChangeSets
     preview: DataFrame
     counts: DataFrame
     rejected: DataFrame
+    read: DataFrame
     files: DataFrame
     reports: DataFrame
     missing: DataFrame
@@ -58,10 +63,14 @@ class Run:
 
 def find_changes(expenses: DataFrame, texts: DataFrame, ledger: Ledger) -> ChangeSets:
     """Compare clean expenses and report texts with the ledger."""
-    return ChangeSets(
-        changes.detect_changes(expenses, ledger.expenses),
-        reconcile.reconcile_income(reports.contract_summary(texts), ledger.contracts),
-        reconcile.reconcile_lines(reports.line_summary(texts), ledger.contracts, ledger.lines),
+    return ChangeSets(changes.detect_changes(expenses, ledger.expenses), *_reported(reports.parse(texts), ledger))
+
+
+def _reported(parsed: DataFrame, ledger: Ledger) -> tuple[DataFrame, DataFrame]:
+    """Income and refunds that differ. Of several reports of one contract or line the latest counts."""
+    return (
+        reconcile.reconcile_income(reports.contracts_of(parsed), ledger.contracts, order=("modified", "source_file")),
+        reconcile.reconcile_lines(reports.lines_of(parsed), ledger.contracts, ledger.lines, order=reports.ORDER),
     )
 
 
@@ -89,16 +98,28 @@ VIEW_LINE_METRICS = "vw_rubricas_calc"
 VIEW_CONTRACT_METRICS = "vw_termos_calc"
 
 
+def views(ledger: Ledger, as_of: AsOf = None) -> dict[str, DataFrame]:
+    """The ledger's tables and its two metric views by the names its SQL uses."""
+    return {
+        VIEW_EXPENSES: ledger.expenses,
+        VIEW_CONTRACTS: ledger.contracts,
+        VIEW_LINES: ledger.lines,
+        VIEW_LINE_METRICS: balances.line_metrics(ledger.lines, ledger.contracts, ledger.expenses, as_of),
+        VIEW_CONTRACT_METRICS: balances.contract_metrics(ledger.lines, as_of).drop("valor_utilizado_rendimento"),
+    }
+
+
+def ask(
+    spark: SparkSession, question: str, ledger: Ledger, params: Mapping[str, Any] | None = None, as_of: AsOf = None
+) -> DataFrame:
+    """SQL over the ledger: tables and views in braces (``{termos}``), values as ``:name``. Leaves no names behind."""
+    return stored.run_query(spark, question, params, **views(ledger, as_of))
+
+
 def register_views(ledger: Ledger, as_of: AsOf = None) -> None:
-    """Make the ledger and its two metric views available to ``spark.sql``."""
-    ledger.expenses.createOrReplaceTempView(VIEW_EXPENSES)
-    ledger.contracts.createOrReplaceTempView(VIEW_CONTRACTS)
-    ledger.lines.createOrReplaceTempView(VIEW_LINES)
-    balances.line_metrics(ledger.lines, ledger.contracts, ledger.expenses, as_of).createOrReplaceTempView(
-        VIEW_LINE_METRICS
-    )
-    metrics = balances.contract_metrics(ledger.lines, as_of).drop("valor_utilizado_rendimento")
-    metrics.createOrReplaceTempView(VIEW_CONTRACT_METRICS)
+    """Make the ledger and its views known to all SQL of the session, over what had their names; see also ``ask``."""
+    for name, df in views(ledger, as_of).items():
+        df.createOrReplaceTempView(name)
 
 
 def run(
@@ -120,24 +141,46 @@ def run(
     returns the new state; without it the expenses are written whole.
     """
     raw = staging.write_run(workbooks.read_workbooks(spark, landing), out, "planilhas", run_id)
-    texts = reports.read_texts(spark, landing)
-    order = extract.PROVENANCE
-    clean = extract.consolidate_expenses(raw, mapping, provenance=True)
-    keyed, keyless = changes.split_keyless(clean)
-    upload = staging.write_run(changes.detect_changes(keyed, ledger.expenses), out, "despesas_upload", run_id)
-    income = reconcile.reconcile_income(reports.contract_summary(texts), ledger.contracts)
-    refunds = reconcile.reconcile_lines(reports.line_summary(texts), ledger.contracts, ledger.lines)
+    parsed = staging.write_run(reports.parse(reports.read_texts(spark, landing)), out, "relatorios", run_id)
+    order, reason = extract.PROVENANCE, F.col(extract.REASON)
+    checked, read = staging.write_counted(
+        extract.checked_expenses(raw, mapping),
+        out,
+        "despesas_lidas",
+        run_id,
+        {extract.OK: F.count_if(reason.isNull()), **{r: F.count_if(reason == r) for r in extract.REASONS}},
+    )
+    keyed = checked.filter(reason.isNull()).drop(extract.REASON)
+    action = F.col(changes.ACTION)
+    upload, actions = staging.write_counted(
+        changes.classify(
+            keyed, ledger.expenses, clustered=ledger.clustered, hot=changes.hot_keys(keyed) if ledger.clustered else ()
+        ),
+        out,
+        "despesas_upload",
+        run_id,
+        {a: F.count_if(action == a) for a in (S.INSERT, S.UPDATE, S.IGNORE)},
+        only=action != S.IGNORE,
+    )
+    income, refunds = _reported(parsed, ledger)
     found = ChangeSets(
         upload,
         staging.write_run(income, out, "update_termos", run_id),
         staging.write_run(refunds, out, "update_rubricas", run_id),
     )
-    files, ignored = extract.workbook_summary(raw, mapping), extract.report_summary(texts)
-    missing = extract.missing_workbooks(raw, mapping)
     preview = changes.preview_run(found.expenses, found.income, found.refunds)
-    counts = changes.count_with_ignored(keyed, upload)
+    seen = {
+        "changes": found,
+        "preview": preview,
+        "counts": _counted(spark, actions, changes.ACTION, "registros"),
+        "rejected": checked.filter(reason.isNotNull()),
+        "read": _counted(spark, read, extract.REASON, "linhas"),
+        "files": extract.workbook_summary(raw, mapping),
+        "reports": extract.report_summary(parsed),
+        "missing": extract.missing_workbooks(raw, mapping),
+    }
     if not approved:
-        return Run(found, preview, counts, keyless, files, ignored, missing, ledger)
+        return Run(**seen, ledger=ledger)
 
     after = apply_changes(ledger, found, order)
     spent = write_expenses(upload) if write_expenses else staging.write_run(after.expenses, out, "despesas", run_id)
@@ -152,14 +195,14 @@ def run(
     )
     contract_log = balances.contract_change_log(after.contracts, lines, as_of)
     return Run(
-        found,
-        preview,
-        counts,
-        keyless,
-        files,
-        ignored,
-        missing,
-        Ledger(after.expenses, contracts, lines),
-        balances.line_log(traced),
-        contract_log,
+        **seen,
+        ledger=Ledger(after.expenses, contracts, lines),
+        line_log=balances.line_log(traced),
+        contract_log=contract_log,
     )
+
+
+def _counted(spark: SparkSession, counts: Mapping[str, int], name: str, value: str) -> DataFrame:
+    """Counts above zero as rows; there are a handful."""
+    rows = [(k, n) for k, n in counts.items() if n]
+    return spark.createDataFrame(rows, f"`{name}` string, `{value}` long")

@@ -18,6 +18,11 @@ DEFAULTS = {
 }
 
 
+#: Adaptive execution merges small partitions, but never makes more than there were; this many
+#: start, unless a number of shuffle partitions is asked for.
+FIRST_PARTITIONS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000"}
+
+
 def build_session(
     app: str = "grantloom", master: str | None = None, conf: Mapping[str, str] | None = None
 ) -> SparkSession:
@@ -25,6 +30,8 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    given = dict(conf or {})
+    first = {} if "spark.sql.shuffle.partitions" in given else FIRST_PARTITIONS
+    for key, value in {**DEFAULTS, **first, **given}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,33 +1,65 @@
-"""A stored table in key-hash buckets: a change set rewrites the buckets it touches, no others.
-
-Below the table's folder lie ``files/version=<v>/bucket=<b>`` and ``manifest/version=<v>``, the
-latter with the version that holds each bucket's rows. A version is written under its own
-names, so one that failed half way is simply written again, and readers of older versions are
-not disturbed. ``keep`` versions stay readable; files that none of them names are deleted.
+"""A stored table in key-hash buckets, merged on read: a change set is written as it is.
+
+Below the table's folder lie ``files/version=<v>/bucket=<b>`` with whole buckets,
+``changes/version=<v>/bucket=<b>`` with the changes of one step, and ``manifest/version=<v>``:
+for each bucket the version that holds its rows, the steps that changed it since, and how many
+rows both have. Reading folds the changes in, in the buckets that have any. A bucket whose changes
+exceed ``share`` of its rows is written whole again, so a step writes in proportion to its changes
+and a read folds at most that share. A version is written under its own names, so one that failed
+half way is simply written again, and readers of older versions are not disturbed. ``keep``
+versions stay readable; files that none of them names are deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MANIFEST = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("held_by", T.LongType())])
+#: In the changes that :class:`Buckets` hands to ``apply``: the step each row belongs to.
+STEP = "_step"
+
+
+class Held(NamedTuple):
+    """What a bucket consists of."""
+
+    version: int
+    steps: tuple[int, ...]
+    rows: int
+    changed: int
+
+
+_MANIFEST = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("held_by", T.LongType()),
+        T.StructField("steps", T.ArrayType(T.LongType())),
+        T.StructField("rows", T.LongType()),
+        T.StructField("changed", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
 class Buckets:
-    """Where a table lies and how it is cut. ``buckets`` is set once, for the table's whole life."""
+    """Where a table lies and how it is cut. ``buckets`` is set once, for the table's whole life.
+
+    ``apply(rows, changes)`` gives the rows after the changes of several steps, which it tells
+    apart by the column ``STEP``.
+    """
 
     spark: SparkSession
     path: str
     key: str
     schema: T.StructType
+    apply: Callable[[DataFrame, DataFrame], DataFrame]
     buckets: int = 1024
     keep: int = 10
+    share: float = 0.25
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
@@ -47,39 +79,64 @@ class Buckets:
         """Readable versions, the oldest first."""
         return self._numbers("manifest", "version")
 
-    def manifest(self, version: int) -> dict[int, int]:
-        """Bucket -> version that holds its rows; never more than ``buckets`` entries."""
+    def manifest(self, version: int) -> dict[int, Held]:
+        """What each bucket consists of; never more than ``buckets`` entries."""
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/version={version}").collect()
-        return {r["bucket"]: r["held_by"] for r in rows}
-
-    def read(self, version: int, only: set[int] | None = None) -> DataFrame:
-        """The table at ``version``, or some of its buckets."""
-        held = self.manifest(version)
-        paths = [f"{self.path}/files/version={v}/bucket={b}" for b, v in held.items() if only is None or b in only]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return {r["bucket"]: Held(r["held_by"], tuple(r["steps"]), r["rows"], r["changed"]) for r in rows}
+
+    def read(self, version: int) -> DataFrame:
+        """The table at ``version``."""
+        return self._rows(self.manifest(version))
+
+    def _rows(self, held: dict[int, Held]) -> DataFrame:
+        def files(some: dict[int, Held]) -> DataFrame:
+            paths = [f"{self.path}/files/version={h.version}/bucket={b}" for b, h in some.items() if h.rows]
+            if not paths:
+                return self.spark.createDataFrame([], self.schema)
+            return self.spark.read.schema(self.schema).parquet(*paths)
+
+        changed = {b: h for b, h in held.items() if h.steps}
+        if not changed:
+            return files(held)
+        steps = [f"{self.path}/changes/version={v}/bucket={b}" for b, h in changed.items() for v in h.steps]
+        after = self.apply(files(changed), self.spark.read.parquet(*steps)).select(*self.schema.fieldNames())
+        rest = {b: h for b, h in held.items() if not h.steps}
+        return files(rest).unionByName(after) if rest else after
 
     def write(self, df: DataFrame, version: int) -> DataFrame:
         """All rows of ``df`` as ``version``."""
-        return self._store(df, version, {})
-
-    def change(
-        self, changes: DataFrame, before: int, version: int, apply: Callable[[DataFrame, DataFrame], DataFrame]
-    ) -> DataFrame:
-        """``version``: version ``before`` with ``apply(rows, changes)`` in the buckets of the changes' keys."""
-        touched = {r[0] for r in changes.select(self.bucket()).distinct().collect()}
-        rest = {b: v for b, v in self.manifest(before).items() if b not in touched}
-        return self._store(apply(self.read(before, touched), changes) if touched else None, version, rest)
-
-    def _store(self, df: DataFrame | None, version: int, rest: dict[int, int]) -> DataFrame:
-        if df is not None:
-            # rebalancing cuts a bucket that holds a hot key into several files
-            dealt = df.select(*self.schema.fieldNames(), self.bucket().alias("bucket")).hint("rebalance", "bucket")
-            dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/files/version={version}")
-        own = dict.fromkeys(self._numbers(f"files/version={version}", "bucket"), version) if df is not None else {}
-        held = self.spark.createDataFrame(sorted({**rest, **own}.items()), _MANIFEST)
-        held.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
+        return self._publish(self._whole(df, version), version)
+
+    def change(self, changes: DataFrame, before: int, version: int) -> DataFrame:
+        """``version``: version ``before`` and the changes."""
+        counts = self._store(changes.withColumn(STEP, F.lit(version).cast("long")), "changes", version)
+        held = self.manifest(before)
+        for b, n in counts.items():
+            old = held.get(b, Held(version, (), 0, 0))
+            held[b] = Held(old.version, (*old.steps, version), old.rows, old.changed + n)
+        full = {b: h for b, h in held.items() if h.steps and h.changed > self.share * h.rows}
+        if full:
+            held |= dict.fromkeys(full, Held(version, (), 0, 0)) | self._whole(self._rows(full), version)
+        return self._publish(held, version)
+
+    def _whole(self, df: DataFrame, version: int) -> dict[int, Held]:
+        counts = self._store(df.select(*self.schema.fieldNames()), "files", version)
+        return {b: Held(version, (), n, 0) for b, n in counts.items()}
+
+    def _store(self, df: DataFrame, folder: str, version: int) -> dict[int, int]:
+        """Write rows by bucket; their number in each."""
+        path = f"{self.path}/{folder}/version={version}"
+        # rebalancing cuts a bucket that holds a hot key into several files
+        dealt = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        if not self._numbers(f"{folder}/version={version}", "bucket"):
+            return {}
+        return {r[0]: r[1] for r in self.spark.read.parquet(path).groupBy("bucket").count().collect()}
+
+    def _publish(self, held: dict[int, Held], version: int) -> DataFrame:
+        rows = [(b, h.version, list(h.steps), h.rows, h.changed) for b, h in sorted(held.items())]
+        listed = self.spark.createDataFrame(rows, _MANIFEST)
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
         self._forget()
         return self.read(version)
 
@@ -89,13 +146,15 @@ class Buckets:
         old, kept = versions[: -self.keep], versions[-self.keep :]
         if not old:
             return
-        named = {(v, b) for version in kept for b, v in self.manifest(version).items()}
+        held = [(b, h) for version in kept for b, h in self.manifest(version).items()]
+        named = {("files", h.version, b) for b, h in held} | {("changes", v, b) for b, h in held for v in h.steps}
         for version in old:
             fs, path = self._fs(f"{self.path}/manifest/version={version}")
             fs.delete(path, True)
-        for version in self._numbers("files", "version"):
-            if version not in kept:
-                for bucket in self._numbers(f"files/version={version}", "bucket"):
-                    if (version, bucket) not in named:
-                        fs, path = self._fs(f"{self.path}/files/version={version}/bucket={bucket}")
-                        fs.delete(path, True)
+        for folder in ("files", "changes"):
+            for version in self._numbers(folder, "version"):
+                if version not in kept:
+                    for bucket in self._numbers(f"{folder}/version={version}", "bucket"):
+                        if (folder, version, bucket) not in named:
+                            fs, path = self._fs(f"{self.path}/{folder}/version={version}/bucket={bucket}")
+                            fs.delete(path, True)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,20 +12,40 @@ from ..functions import dates, text
 from ..schemas import all_strings
 
 
+#: Holds the raw text of a line that does not have the header's number of fields.
+DAMAGED = "_linha"
+
+
 def read_text_columns(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, every column a string. Columns are matched by header name."""
-    return (
+    """CSV with a header, every column a string. Columns are matched by header name; damaged lines are left out."""
+    return read_checked(spark, path, columns)[0]
+
+
+def read_checked(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """``(lines as text columns, damaged lines)`` of CSV files with a header.
+
+    A line with too few or too many fields is damaged: it comes as its raw text (``DAMAGED``) with
+    the fields that could be read, and never passes for a row with nulls.
+    """
+    lines = (
         spark.read.option("header", True)
         .option("multiLine", False)
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
-        .schema(all_strings(*columns))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", DAMAGED)
+        .schema(all_strings(*columns, DAMAGED))
         .csv(path if isinstance(path, str) else list(path))
     )
+    # Spark refuses a query of the raw text alone, so the condition looks at a field too
+    broken = F.col(DAMAGED).isNotNull() | (F.coalesce(F.length(columns[0]), F.lit(0)) < 0)
+    return lines.filter(~broken).drop(DAMAGED), lines.filter(broken)
 
 
 def read_typed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """CSV read as text and cast to a known schema; nothing is inferred, bad values are null."""
+    """CSV read as text and cast to a known schema; nothing is inferred, bad values are null, damaged lines left out."""
     return cast_to(read_text_columns(spark, path, schema.fieldNames()), schema)
 
 
@@ -66,5 +86,19 @@ def write_run(df: DataFrame, base: str, table: str, run_id: str | int) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_counted(
+    df: DataFrame, base: str, table: str, run_id: str | int, counts: Mapping[str, Column], only: Column | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """As ``write_run``, with aggregates of the rows taken in the writing pass itself.
+
+    ``only`` is a condition on the rows to write; the counts are of all of them. Spark adds up
+    observed metrics once per finished task of the writing stage, so a lost task counts once.
+    """
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(name) for name, c in counts.items()])
+    written = write_run(watched if only is None else watched.filter(only), base, table, run_id)
+    return written, {name: seen.get.get(name) or 0 for name in counts}
+
+
 def read_run(spark: SparkSession, base: str, table: str, run_id: str | int) -> DataFrame:
     return spark.read.parquet(run_path(base, table, run_id))

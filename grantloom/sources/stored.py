@@ -71,9 +71,11 @@ def stored_refunds(df: DataFrame) -> DataFrame:
     return df.select("id_termo_rubrica", "valor_estornado")
 
 
-def run_query(spark: SparkSession, query: str, params: Mapping[str, Any] | None = None) -> DataFrame:
-    """A query with named parameters (``:name``)."""
-    return spark.sql(query, args=dict(params or {}))
+def run_query(
+    spark: SparkSession, query: str, params: Mapping[str, Any] | None = None, **frames: DataFrame
+) -> DataFrame:
+    """A query with named parameters (``:name``) and frames (``{name}``), which get no name in the session."""
+    return spark.sql(query, args=dict(params or {}), **frames)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -1,7 +1,8 @@
 """Expense workbooks: one ``Despesas_SIT_{number}.xlsx`` per contract.
 
 Spark lists the files and spreads them over tasks; a task decodes one file at a time into
-Arrow batches. A worksheet has at most 1,048,576 rows, which bounds what a task holds.
+Arrow batches. A file counts only if it can be read to its end, so it is gone through twice, once
+to see that and once to hand out its rows; a task holds the file, its shared strings and one batch.
 """
 
 from __future__ import annotations
@@ -94,16 +95,23 @@ def decode_workbooks(files: DataFrame, headers: Sequence[str] = HEADERS) -> Data
                         names=schema.fieldNames(),
                     )
 
-                # a file counts only as a whole, so its batches wait until it is read to the end
-                try:
-                    ready = [pack(*part) for part in _file_parts(batch.column("content")[i].as_py(), wanted)]
-                except _BROKEN:
-                    ready = [pack([], UNREADABLE, [[None] * len(wanted)], 0)]
-                yield from ready
+                for part in decoded(batch.column("content")[i].as_py(), wanted):
+                    yield pack(*part)
 
     return files.select("path", "modificationTime", "content").mapInArrow(decode, schema)
 
 
+def decoded(content: bytes, wanted: list[str]) -> Iterator[tuple[list[str], str, list[list[str | None]], int]]:
+    """The parts of a file, or one that says it cannot be read to its end."""
+    try:
+        for _ in _file_parts(content, wanted):
+            pass
+    except _BROKEN:
+        yield [], UNREADABLE, [[None] * len(wanted)], 0
+        return
+    yield from _file_parts(content, wanted)
+
+
 def _file_parts(content: bytes, wanted: list[str]) -> Iterator[tuple[list[str], str, list[list[str | None]], int]]:
     """``(absent headers, status, rows, first row number)`` per batch; the first is row 0 alone."""
     rows = sheet_rows(content)

@@ -25,7 +25,7 @@ from ..plans import extract, full_run
 from ..sources import landing as listing
 from ..schemas import EXPENSES
 from ..sources import staging, workbooks
-from ..sources.buckets import Buckets
+from ..sources.buckets import STEP, Buckets
 
 TABLE = "despesas"
 # the columns every binary file source has
@@ -44,10 +44,11 @@ def batch_writer(
         spark = files.sparkSession
         before = base(spark) if batch_id == 0 else staging.read_run(spark, out, TABLE, batch_id - 1)
         raw = staging.write_run(workbooks.decode_workbooks(files), out, "planilhas", batch_id)
-        clean = extract.consolidate_expenses(raw, mapping, provenance=True)
-        keyed, keyless = changes.split_keyless(clean)
+        reason = F.col(extract.REASON)
+        checked = staging.write_run(extract.checked_expenses(raw, mapping), out, "despesas_lidas", batch_id)
+        keyed = checked.filter(reason.isNull()).drop(extract.REASON)
         found = staging.write_run(changes.detect_changes(keyed, before), out, "mudancas", batch_id)
-        staging.write_run(keyless, out, "rejeitadas", batch_id)
+        staging.write_run(checked.filter(reason.isNotNull()), out, "rejeitadas", batch_id)
         after = apply.apply_expense_changes(before, found, order=extract.PROVENANCE)
         staging.write_run(after, out, TABLE, batch_id)
 
@@ -93,9 +94,13 @@ def _taken(spark: SparkSession, out: str) -> DataFrame | None:
     return spark.read.option("basePath", base).parquet(f"{base}/run_id=*")
 
 
-def store(spark: SparkSession, out: str, **how: int) -> Buckets:
+def _apply(rows: DataFrame, some: DataFrame) -> DataFrame:
+    return apply.apply_expense_changes(rows, some, order=(STEP, *extract.PROVENANCE))
+
+
+def store(spark: SparkSession, out: str, **how: float) -> Buckets:
     """The expenses below ``out``, in buckets by key."""
-    return Buckets(spark, f"{out.rstrip('/')}/{TABLE}", fingerprint.KEY, EXPENSES, **how)
+    return Buckets(spark, f"{out.rstrip('/')}/{TABLE}", fingerprint.KEY, EXPENSES, _apply, **how)
 
 
 def latest_ledger(spark: SparkSession, out: str, base: full_run.Ledger) -> tuple[int, full_run.Ledger]:
@@ -121,7 +126,7 @@ def take_landed(
 
     A step ends with the list of its files. One that fails before that is done again from the
     same ledger under the same number, and overwrites what it left. Expenses are kept in buckets
-    by key, of which a step writes those that its changes touch.
+    by key; a step writes its changes, which are folded in on reading (``sources/buckets.py``).
     """
     files = listing.landed_files(spark, landing).select(*_FILE)
     taken = _taken(spark, out)
@@ -137,8 +142,7 @@ def take_landed(
         expenses.write(base.expenses, last)
 
     def write(found: DataFrame) -> DataFrame:
-        change = lambda rows, some: apply.apply_expense_changes(rows, some, order=extract.PROVENANCE)
-        return expenses.change(found, last, last + 1, change)
+        return expenses.change(found, last, last + 1)
 
     paths = [r["source_file"] for r in new]
     done = full_run.run(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from grantloom import schemas
 from grantloom import settings as S
+from grantloom.operators import apply
 from grantloom.plans import balances, payroll, staffing
 
 AS_OF = dt.date(2025, 6, 15)
@@ -408,7 +409,26 @@ def test_line_metrics_shuffle_each_side_once_by_line(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert plan.count("Exchange hashpartitioning(id_termo_rubrica") == 2
+    by_line = [x for x in plan.split("\n") if "Exchange hashpartitioning(__line" in x or "Exchange hashpartitioning(_groupingexpression" in x]
+    # and one for each side of the join to the contracts
+    assert len(by_line) == 2 and plan.count("Exchange hashpartitioning") == 4
     # and both inputs of the contract join once by contract
     assert plan.count("Exchange hashpartitioning(__contract") == 2
     assert "BroadcastExchange" not in plan and "Cartesian" not in plan
+
+
+def test_line_keys_compare_without_case(spark):
+    lines = frame(spark, schemas.LINES, line("7-3.1 Ajuda", "100.00"), line("7-Ómega", "50.00"))
+    spent = frame(
+        spark,
+        schemas.EXPENSES,
+        paid("7-3.1 AJUDA", "2025-01-31", "10.00"),
+        paid("7-3.1 ajuda ", "2025-02-28", "5.00"),
+        paid("7-ómega", "2025-02-28", "1.00"),
+        paid("7-Omega", "2025-02-28", "9.00"),  # accents count
+    )
+    got = {r["id_termo_rubrica"]: r for r in balances.refresh_lines(lines, frame(spark, schemas.CONTRACTS, contract(7)), spent, AS_OF).collect()}
+    assert {k: r["saldo_total_gasto"] for k, r in got.items()} == {"7-3.1 Ajuda": D("15.00"), "7-Ómega": D("1.00")}
+    updates = spark.createDataFrame([("7-3.1 AJUDA", D("3.00"))], "id_termo_rubrica string, valor_estornado decimal(18,2)")
+    after = {r["id_termo_rubrica"]: r["valor_estornado"] for r in apply.apply_refunds(lines, updates).collect()}
+    assert after == {"7-3.1 Ajuda": D("3.00"), "7-Ómega": None}

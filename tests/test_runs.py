@@ -15,8 +15,8 @@ from test_sources import HEADER, MAP, REPORT, put, row
 
 from grantloom import catalog, oracle, schemas
 from grantloom.operators import changes, settle
-from grantloom.plans import full_run
-from grantloom.sources import staging
+from grantloom.plans import extract, full_run
+from grantloom.sources import reports, staging, stored
 from grantloom.streaming import landing
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
@@ -52,7 +52,8 @@ def ledger(spark):
 
 def landed(folder, amount="10.50"):
     folder.mkdir(exist_ok=True)
-    write_xlsx(folder / "Despesas_SIT_90001.xlsx", [HEADER, row("E1", amount=amount), row("E2"), row("", amount="1.00")])
+    lost = [row("E8", day=""), row("E9", day="31/02/2025"), row("E10", kind="sem código")]
+    write_xlsx(folder / "Despesas_SIT_90001.xlsx", [HEADER, row("E1", amount=amount), row("E2"), row("", amount="1.00"), *lost])
     put(folder, "r.csv", REPORT)
     return str(folder)
 
@@ -63,7 +64,10 @@ def test_full_run(spark, ledger, tmp_path):
     assert only.ledger is ledger and only.line_log is None
     assert {r["acao"]: r["registros"] for r in only.counts.collect()} == {"INSERT": 2}
     assert sorted({r["secao"] for r in only.preview.collect()}) == ["DESPESAS", "RUBRICAS", "TERMOS"]
-    assert only.rejected.count() == 1
+    why = {(r["id_codigo_sit"], r["row_no"]): r["motivo"] for r in only.rejected.collect()}
+    assert why == {("", 3): extract.NO_KEY, ("E8", 4): extract.NO_DATE, ("E9", 5): extract.BAD_DATE, ("E10", 6): extract.NO_CODE}
+    read = {r["motivo"]: r["linhas"] for r in only.read.collect()}
+    assert read == {extract.OK: 2, **dict.fromkeys(extract.REASONS, 1)}
 
     done = full_run.run(spark, folder, ledger, out, "1", AS_OF, approved=True, mapping=MAP)
     assert done.ledger.expenses.count() == 2
@@ -95,6 +99,36 @@ def test_full_run(spark, ledger, tmp_path):
     assert third.ledger.expenses.agg(F.sum("valor")).first()[0] == D("21.50")
 
 
+def test_of_several_reports_the_latest_counts(spark, ledger, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, when, refund in (("a.csv", 2_000, "9,00"), ("b.csv", 1_000, "70,00")):
+        put(folder, name, REPORT.replace("25,10", refund))
+        os.utime(folder / name, (when, when))
+    texts = reports.read_texts(spark, str(folder))
+    found = full_run.find_changes(spark.createDataFrame([], schemas.EXPENSES), texts, ledger)
+    assert {r["id_termo_rubrica"]: r["valor_estornado"] for r in found.refunds.collect()}["71-3.3.90.30.99"] == D("9.00")
+
+
+def test_questions_leave_no_names_behind(spark, ledger):
+    spark.range(3).createOrReplaceTempView("termos")
+    before = {t.name for t in spark.catalog.listTables()}
+    got = full_run.ask(spark, "SELECT nro_sit FROM {termos} WHERE id_termo = :id", ledger, {"id": 71})
+    assert [r[0] for r in got.collect()] == [90001]
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("termos").count() == 3
+    spark.catalog.dropTempView("termos")
+
+
+def test_a_run_compares_with_a_clustered_ledger(spark, ledger, tmp_path):
+    folder, out = landed(tmp_path / "in"), str(tmp_path / "out")
+    done = full_run.run(spark, folder, ledger, out, "1", AS_OF, approved=True, mapping=MAP)
+    spark.sql("DROP TABLE IF EXISTS ledger_run")
+    stored.write_bucketed(done.ledger.expenses, "ledger_run", "id_codigo_sit", 4)
+    there = full_run.Ledger(spark.table("ledger_run"), done.ledger.contracts, done.ledger.lines, clustered=True)
+    again = full_run.run(spark, folder, there, out, "2", AS_OF, mapping=MAP)
+    assert {r["acao"]: r["registros"] for r in again.counts.collect()} == {"IGNORE": 2}
+
+
 def test_landing_stream_takes_each_file_once(spark, tmp_path):
     folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     folder.mkdir()
@@ -164,8 +198,11 @@ def test_a_shared_folder_must_be_named():
         settle.shared_folder(nameless)
 
 
-# the scans look into the files for their columns each time
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"stored_scans"}))
+# the scans look into the files for their columns each time, or read files that they write first
+SCANS = {"stored_scans", "staging_round_trip", "report_scan", "landed_files"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SCANS))
 def test_building_a_query_runs_no_job_and_writes_nothing(spark, name):
     folder = Path(settle.shared_folder(spark))
     before = set(folder.glob("settled-*"))

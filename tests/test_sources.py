@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import random
+import tracemalloc
 from pathlib import Path
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from grantloom import schemas
 from grantloom import settings as S
+from grantloom.operators import changes
 from grantloom.plans import extract
 from grantloom.sources import landing, lookups, reports, staging, stored, workbooks
 from grantloom.sources.buckets import Buckets
@@ -169,7 +172,7 @@ def test_report_encodings_line_ends_and_order(spark, tmp_path):
     assert contracts == {"90001": D("1250.50"), "90002": D("1250.50")}
     assert lines["90001-3.3.90.30.99"] == D("25.10") and lines["90002-3.3.90.30.99"] == D("25.10")
     # Spark does not list files of no length
-    assert {r["status"]: r["arquivos"] for r in extract.report_summary(texts).collect()} == {"ok": 3, "ignored": 1}
+    assert {r["status"]: r["arquivos"] for r in extract.report_summary(reports.parse(texts)).collect()} == {"ok": 3, "ignored": 1}
 
 
 def section(spark, tmp_path, text):
@@ -283,32 +286,125 @@ def test_lookups_and_landing(spark, books):
     assert {r["extension"]: r["arquivos"] for r in landing.count_by_extension(files).collect()} == {"xlsx": 7, "csv": 1, "xls": 1}
 
 
-def test_buckets_rewrite_only_what_changes_touch(spark, tmp_path):
+def test_buckets_write_in_proportion_to_changes(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
-    table = Buckets(spark, str(tmp_path / "t"), "k", schema, buckets=8, keep=2)
-    rows = [(str(i), i) for i in range(60)] + [(None, -1)]
-    assert table.write(spark.createDataFrame(rows, schema), 0).count() == 61
-
-    def files():
-        return {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "files").rglob("*.parquet")}
 
     def replace(old, new):
-        return old.join(new.select("k"), "k", "left_anti").unionByName(new)
+        last = new.groupBy("k").agg(F.max_by("v", "_step").alias("v"))
+        return old.join(last.select("k"), "k", "left_anti").unionByName(last)
+
+    table = Buckets(spark, str(tmp_path / "t"), "k", schema, replace, buckets=8, keep=2)
+    rows = [(str(i), i) for i in range(400)] + [(None, -1)]
+    assert table.write(spark.createDataFrame(rows, schema), 0).count() == 401
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet") if "manifest" not in str(p)}
 
     before = files()
-    after = table.change(spark.createDataFrame([("7", 700), ("new", 1)], schema), 0, 1, replace)
+    after = table.change(spark.createDataFrame([("7", 700), ("new", 1)], schema), 0, 1)
     want = {**dict(rows), "7": 700, "new": 1}
     assert {r["k"]: r["v"] for r in after.collect()} == want
     now = files()
     assert before.items() <= now.items()  # nothing that lay there was written again
-    assert len({p.parent.name for p in now if p not in before}) <= 2
+    new = [p for p in now if p not in before]
+    assert len(new) <= 2 and all("changes" in str(p) for p in new)
+    assert sum(spark.read.parquet(str(p)).count() for p in new) == 2
     assert {r["k"]: r["v"] for r in table.read(0).collect()} == dict(rows)
     # an empty change set writes no rows; versions beyond the kept ones go
-    table.change(spark.createDataFrame([], schema), 1, 2, replace)
+    table.change(spark.createDataFrame([], schema), 1, 2)
     assert table.versions() == [1, 2] and {r["k"]: r["v"] for r in table.read(2).collect()} == want
-    table.change(spark.createDataFrame([("7", 701)], schema), 2, 3, replace)
+    # changes of several steps are folded in their order
+    table.change(spark.createDataFrame([("7", 701)], schema), 2, 3)
     assert {r["k"]: r["v"] for r in table.read(3).collect()} == {**want, "7": 701}
     assert {r["k"]: r["v"] for r in table.read(2).collect()} == want
     # a step done again leaves the same behind
-    again = table.change(spark.createDataFrame([("7", 701)], schema), 2, 3, replace)
+    again = table.change(spark.createDataFrame([("7", 701)], schema), 2, 3)
     assert {r["k"]: r["v"] for r in again.collect()} == {**want, "7": 701}
+    # a bucket whose changes exceed the share of its rows is written whole; the others are not
+    seven = next(b for b, h in table.manifest(3).items() if len(h.steps) == 2)
+    keys = [r["k"] for r in table.read(3).filter(table.bucket() == seven).collect()]
+    much = table.change(spark.createDataFrame([(k, 9) for k in keys], schema), 3, 4)
+    assert {r["k"]: r["v"] for r in much.collect()} == {**want, **dict.fromkeys(keys, 9)}
+    held = table.manifest(4)
+    assert held[seven] == (4, (), len(keys), 0) and {h.version for b, h in held.items() if b != seven} <= {0}
+    assert not [p for p in files() if f"bucket={seven}" in str(p) and "version=0" in str(p) and 0 in table.versions()]
+
+
+def test_a_comparison_does_not_shuffle_a_clustered_ledger(spark):
+    spark.sql("DROP TABLE IF EXISTS ledger_c")
+    fields = ("valor", "termo")
+    stored.write_bucketed(spark.range(500).selectExpr("cast(id as string) id_codigo_sit", "'a' termo", "1.0 valor"), "ledger_c", "id_codigo_sit", 4)
+    new = spark.range(300, 700).selectExpr("cast(if(id % 3 = 0, 300, id) as string) id_codigo_sit", "if(id % 2 = 0, 'a', 'b') termo", "1.0 valor")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        how = {"fields": fields, "clustered": True}
+        apart = changes.classify(new, spark.table("ledger_c"), **how)
+        assert apart._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        hot = changes.hot_keys(new, share=0.1)
+        assert hot == ["300"] and changes.hot_keys(new, share=0.9) == []
+        split = changes.classify(new, spark.table("ledger_c"), hot=hot, **how)
+        assert split._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        want = sorted(map(tuple, changes.classify(new, spark.table("ledger_c"), fields=fields).collect()))
+        assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, split.collect())) == want
+        assert {r[-1] for r in want} == {"INSERT", "UPDATE", "IGNORE"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
+def test_large_report_line_by_line(spark):
+    """One report of 100,000 lines with 10,000 marks, against a plain state machine."""
+    rng = random.Random(8)
+    written = []
+    for i in range(100_000):
+        if i % 10:
+            written.append(rng.choice([f"3.1.90.{i % 50} - X;1;2;3;{i % 7},50", "", f"3.3;1;2;3;R$ {i}", "curta;1"]))
+        else:
+            written.append(rng.choice([f"{S.MARK_SIT};{i}", f"{S.MARK_SIT}; ", S.MARK_INCOME, f"{S.MARK_TOTAL};R$ {i},00", f"x {S.MARK_EXPENSES}"]))
+    written.append(f"{S.MARK_SIT};77")
+    df = spark.createDataFrame([("f", None, "\n".join(written))], "source_file string, modified timestamp, content string")
+    number, income, flowing, total, spending, tagged, rows = None, False, False, None, False, [], []
+    for pos, line in enumerate(x.strip() for x in written):
+        before, section = number, None
+        if line.startswith(S.MARK_SIT):
+            number = line.split(";")[1].strip() or None
+        elif number and S.MARK_INCOME in line:
+            income = flowing = True
+        elif number and line.startswith(S.MARK_TOTAL):
+            if flowing:
+                total = D(line.split(";")[1].replace("R$ ", "").replace(",", "."))
+            income = flowing = False
+        elif number and S.MARK_EXPENSES in line:
+            # the section begins below its mark, and ends the income
+            income, section, spending = False, "expenses" if spending else "none", True
+        elif number and spending and len(line.split(";")) >= 5:
+            parts = line.split(";")
+            rows.append((pos, parts[0].split("-")[0].strip(), D(parts[4].replace("R$ ", "").replace(",", "."))))
+        if line:
+            tagged.append((pos, before, section or ("expenses" if spending else "income" if income else "none"), line))
+    parsed = reports.parse(df)
+    assert sorted((r.pos, r.rubrica, r.valor_estornado) for r in reports.lines_of(parsed).collect()) == rows
+    first = parsed.select("nro_sit", "rendimento_financeiro_total").first()
+    assert tuple(first) == (number, total)
+    assert sorted((r.pos, r.nro_sit, r.section, r.line) for r in reports.tagged_lines(df).collect()) == tagged
+
+
+def test_damaged_lines_are_set_apart(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b,c\n1,2,3\n4,5\n"6, x",7,8\n1,2,3,4\n,,\n"9,1,2\n')
+    good, damaged = staging.read_checked(spark, str(tmp_path / "x.csv"), ["a", "b", "c"])
+    assert sorted(map(tuple, good.collect()), key=str) == [("1", "2", "3"), ("6, x", "7", "8"), (None, None, None)]
+    assert sorted(r[staging.DAMAGED] for r in damaged.collect()) == ['"9,1,2', "1,2,3,4", "4,5"]
+    assert good.select("b").count() == 3 and damaged.select(staging.DAMAGED, "a").count() == 3
+
+
+def test_a_large_sheet_is_handed_out_in_constant_memory(tmp_path):
+    peaks = {}
+    for n in (20_000, 120_000):
+        book = tmp_path / f"{n}.xlsx"
+        write_xlsx(book, [["Código", "Valor"], *([f"E{i}", i] for i in range(n))])
+        content = book.read_bytes()
+        tracemalloc.start()
+        rows = sum(len(part[2]) for part in workbooks.decoded(content, ["Código", "Valor"]))
+        peaks[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == n + 1  # row 0 stands for the file
+    assert peaks[120_000] < 1.3 * peaks[20_000]
