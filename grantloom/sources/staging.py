@@ -36,6 +36,8 @@ def read_checked(
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", DAMAGED)
+        # a line is judged by all of its fields, whichever of them are asked for
+        .option("columnPruning", False)
         .schema(all_strings(*columns, DAMAGED))
         .csv(path if isinstance(path, str) else list(path))
     )
