@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -27,6 +28,8 @@ from pyspark.sql import types as T
 from . import pretokens, texts
 
 _LAST = 1 << 30
+#: Pairs remembered at once.
+PAIRS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,6 +45,7 @@ class Bpe:
         self.merges: dict[tuple[int, int], int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        merged: set[int] = set()
         for token, rank in sorted(self.ranks.items(), key=lambda x: x[1]):
             left_right = self._divide(token, rank)
             if left_right is None:
@@ -50,9 +54,16 @@ class Bpe:
                 self.parts[rank] = left_right
                 self.merges[left_right] = rank
             automaton.add_word(token, (len(token), rank))
+            merged.add(rank)
         automaton.make_automaton()
         self.automaton = automaton
         size = max(self.ranks.values()) + 1
+        # by rank: the length of a token, and the longest other token that it begins with
+        self.sizes, self.shorter = [0] * size, [-1] * size
+        for token, rank in self.ranks.items():
+            self.sizes[rank] = len(token)
+            starts = (self.ranks.get(token[:k], -1) for k in range(len(token) - 1, 0, -1))
+            self.shorter[rank] = next((r for r in starts if r in merged), -1)
         names: list[bytes] = [b""] * size
         for token, rank in ranks.items():
             names[rank] = token
@@ -95,47 +106,45 @@ class Bpe:
             else:
                 limit, right = right + 1, parts[right][0]
 
-    def word(self, word: str) -> list[int]:
-        """Ids of one word, given as Latin-1."""
+    def word(self, word: str) -> Sequence[int]:
+        """Ids of one word, given as Latin-1. A byte of a long word costs some ten bytes of memory."""
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
         n = len(word)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(word):
-            found[end + 1 - match[0]].append(match)
-        pairs = self.pairs
-        out: list[tuple[int, int, int]] = []  # start, token, which of the matches that start there
+        longest = array("i", [-1]) * n  # the longest token that starts at each byte
+        for end, (size, token) in self.automaton.iter(word):
+            longest[end + 1 - size] = token
+        pairs, sizes, shorter = self.pairs, self.sizes, self.shorter
+        starts, tokens = array("q"), array("i")
         dead = bytearray(n + 1)
-        at, choice, before = 0, len(found[0]) - 1, -1
+        at, token, before = 0, longest[0], -1
         while True:
-            matches = found[at]
-            while choice >= 0:
-                size, token = matches[choice]
-                if not dead[at + size]:
+            while token >= 0:
+                if not dead[at + sizes[token]]:
                     if before < 0:
                         break
                     fits = pairs.get((before, token))
                     if fits is None:
+                        if len(pairs) >= PAIRS:
+                            pairs.clear()
                         fits = pairs[before, token] = self._fits(before, token)
                     if fits:
                         break
-                choice -= 1
-            if choice >= 0:
-                out.append((at, token, choice))
-                at += size
+                token = shorter[token]
+            if token >= 0:
+                starts.append(at)
+                tokens.append(token)
+                at += sizes[token]
                 if at == n:
-                    return [x[1] for x in out]
-                before, choice = token, len(found[at]) - 1
+                    return tokens
+                before, token = token, longest[at]
             else:
                 dead[at] = 1
-                at, _, choice = out.pop()
-                choice -= 1
-                before = out[-1][1] if out else -1
+                at, token = starts.pop(), shorter[tokens.pop()]
+                before = tokens[-1] if tokens else -1
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        if len(self.pairs) > 2_000_000:
-            self.pairs.clear()
+    def words(self, words: list[bytes]) -> list[Sequence[int]]:
         return [self.word(w.decode("latin-1")) for w in words]
 
 

@@ -1,10 +1,11 @@
 """URL verdicts: host and path rules, else an exact list behind a blocked Bloom filter.
 
-The list holds canonical addresses. A filter of a fixed number of blocks, each of eight 32-bit
-words, gets one bit in every word for each address; it is built by a grouped bitwise or, so it
-never has more than ``BLOCKS`` rows however long the list is, and these are what is broadcast.
-A longer list only lets more addresses through. Those that pass go to an exact hash join with
-the list, all others are allowed without a shuffle.
+The list holds canonical addresses. A filter of blocks, each of eight 32-bit words, gets one bit
+in every word for each address; it is built by a grouped bitwise or. It has a block for about
+``LISTED`` addresses, which lets about one in a hundred others through, and never more than
+``BLOCKS`` rows: these are what is broadcast. A list beyond ``BLOCKS * LISTED`` addresses lets
+more through. Those that pass go to an exact join with the list, all others are allowed
+without a shuffle.
 
 Null urls and urls without ``://`` have an empty host and path, no rule and the verdict allow.
 Repeated rows are judged row by row. An empty list blocks nothing by itself.
@@ -27,8 +28,8 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Blocks of 32 bytes: at most 4 MB.
-BLOCKS = 1 << 17
+#: Addresses that share a block, and most blocks of 36 bytes: at most 19 MB for 8 million addresses.
+LISTED, BLOCKS = 16, 1 << 19
 _WORDS = 8
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,10 +85,11 @@ def verdicts(
     rules: Sequence[tuple[str, str, str]] = RULES,
     page_id: str = "page_id",
     url: str = "url",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` of every page; ``listed`` has a column ``url``."""
     known = shared.keep(listed.select(canonical(F.col("url")).alias("address")).filter("address is not null").distinct())
+    blocks = blocks or min(BLOCKS, known.count() // LISTED + 1)
     narrow = texts.narrow(pages, page_id, url).toDF("page_id", "url")
     named = narrow.select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), canonical(F.col("url")).alias("address")
@@ -100,7 +102,7 @@ def verdicts(
     met = met.withColumn("possible", F.coalesce(hit, F.lit(False)) & F.col("address").isNotNull())
     columns = ["page_id", "host", "path", "address", "_rule"]
     possible, others = (met.filter(F.col("possible") == x).select(*columns) for x in (True, False))
-    exact = known.withColumn("listed", F.lit(True)).hint("shuffle_hash")
+    exact = known.withColumn("listed", F.lit(True))
     checked = possible.join(exact, "address", "left").select(*columns, F.coalesce("listed", F.lit(False)).alias("listed"))
     both = checked.unionByName(others.withColumn("listed", F.lit(False)))
     return both.select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -182,3 +183,16 @@ def test_plan_is_least(steps):
         assert 0 < n <= 64
         total += (0 if n >= 8 and n & (n - 1) == 0 else 64 - n) + penalties[k]
     assert total == pytest.approx(brute_plan(ends.tolist(), penalties.tolist(), 64, 8))
+
+
+def test_a_long_word_takes_little_memory():
+    rng = np.random.default_rng(2)
+    word = bytes(rng.integers(97, 123, 1_000_000, dtype=np.uint8)).decode()
+    encoder = bpe.loaded(RANKS)[0]
+    encoder.word(word)  # what is remembered of pairs has a bound of its own
+    tracemalloc.start()
+    ids = encoder.word(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(ids[:1000]) == EXACT.encode_ordinary(word[:20_000])[:1000]
+    assert "".join(EXACT.decode([*ids])) == word and peak < 25_000_000
