@@ -359,11 +359,62 @@ def test_compound_names_and_values_wider_than_base_spans():
         secret_scan.spans(part.encode() * 40_000)
 
 
+PROSE_VALUES = {
+    "en": "incorrect everything something different forgotten required mandatory correct necessary expired unchanged invisible confidential",
+    "de": "falsch abgelaufen vergessen erforderlich notwendig gesperrt geheim unbekannt vertraulich unsichtbar verschieden abgelehnt",
+    "fr": "incorrecte obligatoire inconnue confidentiel invisible necessaire suffisant different identique facultatif insuffisant oublie",
+    "es": "incorrecta obligatoria caducada desconocida necesaria confidencial olvidada diferente invisible suficiente bloqueada vencida",
+}
+
+
+def test_prose_after_a_place_is_no_secret(spark):
+    words = [w for line in PROSE_VALUES.values() for w in line.split()]
+    told = [f"{line}. {line}" for line in PROSE_VALUES.values()]
+    places = ("the password is {} for all, und mehr.", "Secret is {}, et plus", "token: {} y nada.", 'her passphrase is "{}" now')
+    asked = [places[i % len(places)].format(w) for i, w in enumerate(words)] + [f"password={w}-{v}" for w, v in zip(words, words[1:])][:8]
+    assert len(asked) >= 50
+    keys = ["pwd: x7#Kp9!mQz2", "secret is zqvxkwpjtrbn"] * 3  # often, but in credential places alone
+    df = clash(docs(spark, doc_rows([*told, *asked, *keys, None, ""]))).repartition(3)
+    known = secret_scan.frequent_words(df)
+    # the same ranks from plain counts
+    n = {}
+    for t in [*told, *asked, *keys]:
+        for w in secret_scan.plain_words(t.encode()):
+            n[w.decode()] = n.get(w.decode(), 0) + 1
+    ranked = sorted((w for w in n if n[w] > 1), key=lambda w: (-n[w], w))
+    assert known.bits == secret_scan.Words(ranked).bits and set(words) <= set(known.bits) and "zqvxkwpjtrbn" not in known.bits
+    got = {r.doc_id: r.spans for r in secret_scan.scan(df).collect()}
+    all_texts = [*told, *asked, *keys]
+    assert [all_texts[i] for i, s in got.items() if "guess" in s and i < len(told) + len(asked)] == []
+    assert all("guess" in got[i] for i in range(len(told) + len(asked), len(all_texts)))
+    assert secret_scan.frequent_words(docs(spark, [])).bits == secret_scan.FIXED.bits
+    # what leaves too many words is left out by level, from the rarest on
+    few = secret_scan.frequent_words(df, most=10).bits
+    assert set(few) - set(secret_scan.WORDS) <= set(ranked[:10])
+
+
+def test_prices_of_corpus_words_are_least():
+    rng = random.Random(8)
+    ranked = ["river", "stream", "streams", "over", "verso", "password", "rivers"]
+    words = secret_scan.Words(ranked)
+    for _ in range(200):
+        value = "".join(rng.choice(["river", "Streams", "overso", "2019", "x", "!", "aaaa", "password"]) for _ in range(rng.randint(1, 4)))
+        assert secret_scan.guess_bits(value, words=words) == pytest.approx(brute_bits(value, words)), value
+
+
+def test_quoted_values_end_at_their_quote():
+    for text, want in (
+        ('pwd = "x7#Kp9!mQz2"###', ["x7#Kp9!mQz2"]), ("pwd='x7#Kp9!\"mQz2'), more", ['x7#Kp9!"mQz2']), ('pwd="x7#Kp9!\\"mQz2";', ['x7#Kp9!\\"mQz2']),
+        ('token = "ab8c0123deadbeef878e"###', []), ('pwd="short"x7#Kp9!mQz2', []), ('pwd="x7#Kp9!mQz2...', ["x7#Kp9!mQz2"]), ('pwd: ""x7#Kp9!mQz2', []),
+    ):
+        assert [text_of(text, x) for x in secret_scan.spans(text.encode()) if x[1] == "guess"] == want, text
+
+
 def text_of(text, span):
     return text[span[0] : span[2]]
 
 
-def brute_bits(value):
+def brute_bits(value, words=secret_scan.FIXED):
     """The same price list, by trying every division."""
     import math
     from functools import cache
@@ -376,8 +427,8 @@ def brute_bits(value):
         options = []
         if j == i + 1:
             options.append(brute)
-        if part in secret_scan.WORDS:
-            options.append(math.log2(len(secret_scan.WORDS)) + (part != value[i:j]) + 1)
+        if part in words.bits:
+            options.append(words.bits[part] + (part != value[i:j]) + 1)
         date = secret_scan._DATES.match(value, i)
         if date and date.end() == j:
             options.append(math.log2(36500) + 1)
