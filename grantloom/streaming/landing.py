@@ -4,9 +4,11 @@
 time and length, so a file that lands again under its name with new content is taken again,
 and it shares one ledger, workbooks and reports alike, with ``full_run``.
 
-:func:`landing_stream` is for folders in which every file has a name of its own: a stream's
-checkpoint remembers paths alone. A batch may be repeated after a failure; each batch therefore
-reads the version its predecessor wrote and overwrites only its own.
+:func:`landing_stream` keeps its progress in a stream's checkpoint. Spark's file source knows files
+by path alone, for folders in which every file has a name of its own; with ``recurring=True`` the
+source in ``sources/landed_source.py`` knows them by time, path and length, and a file that lands
+again is taken again. A batch may be repeated after a failure; each batch therefore reads the
+version its predecessor wrote and overwrites only its own.
 """
 
 from __future__ import annotations
@@ -24,12 +26,10 @@ from ..operators import apply, changes
 from ..plans import extract, full_run
 from ..sources import landing as listing
 from ..schemas import EXPENSES
-from ..sources import staging, workbooks
+from ..sources import landed_source, staging, workbooks
 from ..sources.buckets import STEP, Buckets
 
 TABLE = "despesas"
-# the columns every binary file source has
-FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def batch_writer(
@@ -64,14 +64,24 @@ def landing_stream(
     mapping: Mapping[str, str] = S.CONTRACT_BY_SIT,
     glob: str = "Despesas_SIT_*.xlsx",
     files_per_batch: int | None = None,
+    recurring: bool = False,
+    rest: float = 10.0,
 ) -> StreamingQuery:
     """Take in everything that has landed since the last call, then stop.
 
-    Without ``files_per_batch`` that is one batch, so the ledger is written once per call.
+    Without ``files_per_batch`` that is one batch, so the ledger is written once per call. With
+    ``recurring`` names may land again, files wait until they are ``rest`` seconds old, and a
+    call is always one batch. A checkpoint belongs to one of the two sources.
     """
-    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", glob)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if recurring and files_per_batch:
+        raise ValueError("a stream of recurring names takes all rested files in one batch")
+    if recurring:
+        landed_source.register(spark)
+        reader = spark.readStream.format(landed_source.NAME).option("glob", glob).option("rest", rest)
+    else:
+        reader = spark.readStream.format("binaryFile").schema(landed_source.FILES).option("pathGlobFilter", glob)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.load(landing)
         .writeStream.foreachBatch(batch_writer(base, out, mapping))

@@ -16,7 +16,7 @@ from test_sources import HEADER, MAP, REPORT, put, row
 from grantloom import catalog, oracle, schemas
 from grantloom.operators import changes, settle
 from grantloom.plans import extract, full_run
-from grantloom.sources import reports, staging, stored
+from grantloom.sources import landed_source, reports, staging, stored
 from grantloom.streaming import landing
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
@@ -155,6 +155,76 @@ def test_landing_stream_takes_each_file_once(spark, tmp_path):
     assert changes.count_actions(staging.read_run(spark, out, "mudancas", 1)).count() == 2
 
 
+def test_landing_stream_takes_a_recurring_name_again(spark, tmp_path):
+    folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    folder.mkdir()
+    book = folder / "Despesas_SIT_90001.xlsx"
+
+    def base(session):
+        return session.createDataFrame([], schemas.EXPENSES)
+
+    def take():
+        query = landing.landing_stream(spark, str(folder), base, out, checkpoint, MAP, recurring=True, rest=0.0)
+        query.awaitTermination()
+        return len([p for p in Path(out, "despesas").glob("run_id=*")])
+
+    def amounts(batch):
+        return {r["id_codigo_sit"]: r["valor"] for r in staging.read_run(spark, out, "despesas", batch).collect()}
+
+    write_xlsx(book, [HEADER, row("E1"), row("E2")])
+    (folder / "notes.txt").write_text("no workbook")
+    os.utime(book, (1_000, 1_000))
+    assert take() == 1 and amounts(0) == {"E1": D("10.50"), "E2": D("10.50")}
+    assert take() == 1  # nothing new
+    # the same name again, at a later time, in the same checkpoint, beside one with the time of the first
+    write_xlsx(book, [HEADER, row("E1", amount="99.00"), row("E3")])
+    os.utime(book, (2_000, 2_000))
+    write_xlsx(folder / "Despesas_SIT_90002.xlsx", [HEADER, row("E4")])
+    os.utime(folder / "Despesas_SIT_90002.xlsx", (1_000, 1_000))
+    assert take() == 2
+    assert amounts(1) == {"E1": D("99.00"), "E2": D("10.50"), "E3": D("10.50"), "E4": D("10.50")}
+    assert take() == 2
+    # a file removed after it was taken changes nothing
+    book.unlink()
+    write_xlsx(folder / "Despesas_SIT_90002.xlsx", [HEADER, row("E4", amount="7.00")])
+    assert take() == 3 and amounts(2)["E4"] == D("7.00") and len(amounts(2)) == 4
+    with pytest.raises(ValueError, match="one batch"):
+        landing.landing_stream(spark, str(folder), base, out, checkpoint, MAP, files_per_batch=1, recurring=True)
+
+
+def test_landed_source_plans_by_time_path_and_length(tmp_path):
+    def put_file(name, when, size):
+        (tmp_path / name).write_bytes(b"x" * size)
+        os.utime(tmp_path / name, (when, when))
+
+    reader = landed_source.LandedReader(str(tmp_path), "*.bin", 0.0)
+    assert reader.latestOffset() == reader.initialOffset() and reader.partitions(reader.initialOffset(), reader.latestOffset()) == []
+    put_file("b.bin", 100, 3)
+    put_file("a.bin", 100, 5)
+    put_file("c.bin", 50, 2)
+    put_file("d.txt", 300, 2)
+    end = reader.latestOffset()
+    assert end == {"time": 100_000_000, "path": f"{tmp_path}/b.bin", "length": 3}
+    files = [f for s in reader.partitions(reader.initialOffset(), end) for f in s.files]
+    assert [f.path.rsplit("/", 1)[1] for f in files] == ["c.bin", "a.bin", "b.bin"]
+    # replaced between planning and reading: no row now, and a place after the offset later
+    put_file("a.bin", 200, 5)
+    (tmp_path / "c.bin").unlink()
+    batches = list(reader.read(landed_source.Share(tuple(files))))
+    assert [(b.column("path")[0].as_py(), b.column("content")[0].as_py()) for b in batches] == [(f"{tmp_path}/b.bin", b"xxx")]
+    later = reader.latestOffset()
+    assert [f.path for s in reader.partitions(end, later) for f in s.files] == [f"{tmp_path}/a.bin"]
+    # one not yet rested waits, and the offset does not go back when files go
+    waiting = landed_source.LandedReader(str(tmp_path), "*.bin", 3600.0)
+    (tmp_path / "new.bin").write_bytes(b"y")
+    assert waiting.latestOffset() == later
+    (tmp_path / "a.bin").unlink()
+    assert waiting.latestOffset() == later
+    # tasks hold neighbouring files up to a size, and a large file has one of its own
+    sized = [landed_source.Landed(i, str(i), n) for i, n in enumerate((4, 4, 9, 30, 1, 1))]
+    assert [[f.length for f in s.files] for s in landed_source.shares(sized, 10)] == [[4, 4], [9], [30], [1, 1]]
+
+
 def test_a_file_that_lands_again_under_its_name_is_taken_again(spark, ledger, tmp_path):
     folder, out = landed(tmp_path / "in"), str(tmp_path / "out")
 
