@@ -1,9 +1,12 @@
 """Quality rules: counts of each text, base limits, and robust outliers by language and source.
 
 The counts are turned into a vector of statistics. For every (language, source), every
-language, and the whole table, a minimum-covariance-determinant estimate is fitted: from the
-medians and spreads on, each step takes the share ``SUPPORT`` of rows nearest to the current
-centre and recomputes centre and covariance from them, as sums over the whole table. A text is
+language, and the whole table, a minimum-covariance-determinant estimate is fitted: each step
+takes the share ``SUPPORT`` of rows nearest to the current centre and recomputes centre and
+covariance from them, as sums over the whole table. Steps begin from three starts (medians and
+spreads; the same with the correlations of the statistics bent by tanh; plain mean and
+covariance); after ``FIRST_STEPS`` the start of least determinant goes on, until a step lowers
+the determinant's logarithm by less than ``SETTLED``. A text is
 rejected where its Mahalanobis distance is beyond a chi-square limit; the estimate is that of
 its language and source, or of its language, or of all, whichever first has enough rows.
 
@@ -30,8 +33,10 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 #: Base limits: fewest words, largest share (percent) of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 20, 30
-#: Share of rows that an estimate rests on, steps, fewest rows of an estimate.
-SUPPORT, STEPS, LEAST_ROWS = 0.75, 4, 100
+#: Share of rows that an estimate rests on, fewest rows of an estimate.
+SUPPORT, LEAST_ROWS = 0.75, 100
+#: Steps taken from every start, and the least fall of the log determinant that asks for one more.
+FIRST_STEPS, SETTLED = 2, 1e-3
 #: Parts into which the rows of one estimate are dealt.
 PARTS = 64
 #: Chance of a normal vector beyond the limit: one sound document in a million is given up.
@@ -165,55 +170,99 @@ def _distance(values: list[Column], centre: Column, inverse: Column) -> Column:
     return total
 
 
-def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """``key, centre, inverse`` for each key of ``rows (key, *x)`` that has enough rows."""
+def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled: float = SETTLED) -> DataFrame:
+    """``key, centre, inverse, logdet`` for each key of ``rows (key, *x)`` that has enough rows.
+
+    Every step that is not the last lowers a log determinant by ``settled``, and the spreads added
+    to the covariance bound it from below, so the steps come to an end.
+    """
     p = len(x)
-    spread = [SPREADS[c] for c in x]
+    spread = np.array([SPREADS[c] for c in x])
     limit = chi_square_limit(1 - support, p)
     # the nearest part of a normal sample has too small a covariance, by this factor
     factor = support / chi_square_cdf(limit, p + 2)
-    schema = "key string, centre array<double>, inverse array<double>"
+    schema = "key string, start int, centre array<double>, inverse array<double>, logdet double"
+
+    def moments(n, sums, products) -> tuple[np.ndarray, np.ndarray]:
+        centre = np.array(sums) / n
+        upper = np.zeros((p, p))
+        upper[np.triu_indices(p)] = np.array(products) / n
+        return centre, upper + np.triu(upper, 1).T - np.outer(centre, centre)
 
-    def medians(frames):
+    def estimate(key: str, start: int, centre: np.ndarray, covariance: np.ndarray) -> tuple:
+        covariance = covariance + np.diag(np.square(spread))
+        return key, start, centre.tolist(), np.linalg.inv(covariance).ravel().tolist(), float(np.linalg.slogdet(covariance)[1])
+
+    def starts(frames):
         for frame in frames:
             out = []
-            for key, quartiles in zip(frame["key"], frame["quartiles"]):
-                q = np.array(list(map(list, quartiles)))
+            for row in frame.itertuples(index=False):
+                q = np.array(list(map(list, row.quartiles)))
                 scale = np.maximum((q[:, 2] - q[:, 0]) / 1.349, spread)
-                out.append((key, q[:, 1].tolist(), np.diag(1 / scale**2).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["key", "centre", "inverse"])
-
-    def moments(frames):
+                bent = moments(row.n, row.bent_sums, row.bent_products)[1]
+                width = np.sqrt(np.maximum(np.diag(bent), 1e-12))
+                correlation = bent / np.outer(width, width)
+                np.fill_diagonal(correlation, 1.0)
+                out += [
+                    estimate(row.key, 0, q[:, 1], np.diag(np.square(scale))),
+                    estimate(row.key, 1, q[:, 1], correlation * np.outer(scale, scale)),
+                    estimate(row.key, 2, *moments(row.n, row.sums, row.products)),
+                ]
+            yield pd.DataFrame(out, columns=["key", "start", "centre", "inverse", "logdet"])
+
+    def fitted(frames):
         for frame in frames:
             out = []
-            for key, n, sums, products in zip(frame["key"], frame["n"], frame["sums"], frame["products"]):
-                centre = np.array(sums) / n
-                upper = np.zeros((p, p))
-                upper[np.triu_indices(p)] = np.array(products) / n
-                covariance = upper + np.triu(upper, 1).T - np.outer(centre, centre)
-                covariance = factor * covariance + np.diag(np.square(spread))
-                out.append((key, centre.tolist(), np.linalg.inv(covariance).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["key", "centre", "inverse"])
-
-    quartiles = F.array(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000) for c in x])
-    first = rows.groupBy("key").agg(F.count("*").alias("n"), quartiles.alias("quartiles")).filter(F.col("n") >= LEAST_ROWS)
-    found = shared.keep(first.select("key", "quartiles").mapInPandas(medians, schema))
-    products = [F.sum(F.col(x[i]) * F.col(x[j])) for i in range(p) for j in range(i, p)]
+            for row in frame.itertuples(index=False):
+                centre, covariance = moments(row.n, row.sums, row.products)
+                out.append(estimate(row.key, row.start, centre, factor * covariance))
+            yield pd.DataFrame(out, columns=["key", "start", "centre", "inverse", "logdet"])
+
+    def summed(values: list[Column], prefix: str = "") -> list[Column]:
+        products = [F.sum(values[i] * values[j]) for i in range(p) for j in range(i, p)]
+        return [F.array(*map(F.sum, values)).alias(f"{prefix}sums"), F.array(*products).alias(f"{prefix}products")]
+
+    columns = [F.col(c) for c in x]
+    count = F.count("*").alias("n")
     # one key holds all rows: they are dealt out by part as well, and meet again as partial sums
-    parts = F.array(*map(F.lit, range(PARTS)))
+    parts = F.explode(F.array(*map(F.lit, range(PARTS)))).alias("part")
     dealt = rows.withColumn("part", F.pmod(F.xxhash64(*x), F.lit(PARTS)).cast("int"))
-    for _ in range(steps):
-        here = found.withColumn("part", F.explode(parts))
-        measured = dealt.join(here, ["key", "part"]).withColumn("distance", _distance([F.col(c) for c in x], F.col("centre"), F.col("inverse")))
-        near = measured.groupBy("key").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
-        reach = near.withColumn("part", F.explode(parts))
-        inner = measured.join(reach, ["key", "part"]).filter("distance <= reach")
-        sums = inner.groupBy("key").agg(
-            F.count("*").alias("n"), F.array(*map(F.sum, x)).alias("sums"), F.array(*products).alias("products")
-        )
-        last, found = found, shared.keep(sums.mapInPandas(moments, schema))
+
+    quartiles = F.array(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000) for c in x]).alias("quartiles")
+    plain = shared.keep(rows.groupBy("key").agg(count, quartiles, *summed(columns)).filter(F.col("n") >= LEAST_ROWS))
+    bends = []
+    for i, c in enumerate(columns):
+        low, middle, high = (F.col("quartiles")[i][k] for k in range(3))
+        bends.append(F.tanh((c - middle) / F.greatest((high - low) / 1.349, F.lit(float(spread[i])))).alias(x[i]))
+    bent = dealt.join(plain.select("key", "quartiles", parts), ["key", "part"]).select("key", *bends)
+    bent = bent.groupBy("key").agg(*summed(columns, "bent_"))
+    now = shared.keep(plain.join(bent, "key").mapInPandas(starts, schema))
+    shared.drop(plain)
+
+    def step(here: DataFrame) -> DataFrame:
+        centres = here.select("key", "start", "centre", "inverse", parts)
+        distance = _distance(columns, F.col("centre"), F.col("inverse")).alias("distance")
+        measured = dealt.join(centres, ["key", "part"]).select("key", "start", "part", *x, distance)
+        near = measured.groupBy("key", "start").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
+        inner = measured.join(near.select("key", "start", "reach", parts), ["key", "start", "part"]).filter("distance <= reach")
+        return inner.groupBy("key", "start").agg(count, *summed(columns)).mapInPandas(fitted, schema)
+
+    for _ in range(FIRST_STEPS):
+        last, now = now, shared.keep(step(now))
+        shared.drop(last)
+    last, found = now, F.struct("start", "centre", "inverse", "logdet")
+    least = now.groupBy("key").agg(F.min_by(found, F.struct("logdet", "start")).alias("found"))
+    now = shared.keep(least.select("key", "found.*", F.lit(False).alias("done")))
+    shared.drop(last)
+    while not now.filter("not done").isEmpty():
+        after = step(now.filter("not done")).select("key", found.alias("after"))
+        lower = F.col("after.logdet") < F.col("logdet")
+        going = F.coalesce(F.col("after.logdet") < F.col("logdet") - settled, F.lit(False))
+        both = now.join(after, "key", "left")
+        chosen = F.when(lower, F.col("after")).otherwise(found).alias("found")
+        last, now = now, shared.keep(both.select("key", chosen, (~going).alias("done")).select("key", "found.*", "done"))
         shared.drop(last)
-    return found
+    return now.select("key", "centre", "inverse", "logdet")
 
 
 def _verdicts(counted: DataFrame, sample: DataFrame, names: dict[str, str], lang: str, source: str, beyond: float):

@@ -161,29 +161,51 @@ def test_plain_outliers_are_rejected(spark):
     assert set(range(400)) <= {r.doc_id for r in got if r.kept}
 
 
+def plain_estimates(x, names):
+    """Centre, inverse and log determinant from each of the three starts, settled, over an array."""
+    p, floor = len(names), np.array([quality.SPREADS[n] for n in names])
+    factor = quality.SUPPORT / quality.chi_square_cdf(quality.chi_square_limit(1 - quality.SUPPORT, p), p + 2)
+    q = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
+    scale = np.maximum((q[2] - q[0]) / 1.349, floor)
+    correlation = np.corrcoef(np.tanh((x - q[1]) / scale).T)
+    begin = [(q[1], np.diag(scale**2)), (q[1], correlation * np.outer(scale, scale)), (x.mean(0), np.cov(x.T, bias=True))]
+    out = []
+    for c, cov in begin:
+        cov, least = cov + np.diag(floor**2), np.inf
+        for step in range(200):
+            d = np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(cov), x - c)
+            near = x[d <= np.quantile(d, quality.SUPPORT)]
+            c, cov = near.mean(0), factor * np.cov(near.T, bias=True) + np.diag(floor**2)
+            last, least = least, np.linalg.slogdet(cov)[1]
+            if step >= quality.FIRST_STEPS and least >= last - quality.SETTLED:
+                break
+        out.append((c, np.linalg.inv(cov), least))
+    return out
+
+
 def test_estimates_like_numpy(spark):
-    """One group, against the same steps over an array."""
+    """Groups with far, near and slanted outliers, against the same steps over arrays."""
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(3000, 2)) @ np.array([[1.0, 0.4], [0.0, 0.7]]) + [3, 5]
-    x[:300] = rng.normal(size=(300, 2)) * 0.1 + [30, 5]
     names = ["size", "symbols"]
-    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "key string, size double, symbols double")
-    few = spark.createDataFrame([("few", 1.0, 1.0)] * 5, rows.schema)
-    found = quality.estimates(rows.unionByName(few), names).collect()
-    assert [r.key for r in found] == ["g"]
-    centre, inverse = np.array(found[0].centre), np.array(found[0].inverse).reshape(2, 2)
-    spread = np.diag(np.square([quality.SPREADS[n] for n in names]))
-    limit = quality.chi_square_limit(1 - quality.SUPPORT, 2)
-    factor = quality.SUPPORT / quality.chi_square_cdf(limit, 4)
-    q = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
-    c, inv = q[1], np.diag(1 / np.maximum((q[2] - q[0]) / 1.349, [quality.SPREADS[n] for n in names]) ** 2)
-    for _ in range(quality.STEPS):
-        d = np.einsum("ij,jk,ik->i", x - c, inv, x - c)
-        near = x[d <= np.quantile(d, quality.SUPPORT)]
-        c, inv = near.mean(0), np.linalg.inv(factor * np.cov(near.T, bias=True) + spread)
-    assert centre == pytest.approx(c, abs=0.05)
-    assert inverse == pytest.approx(inv, rel=0.1, abs=0.05)
-    assert abs(centre[0] - 3) < 0.2
+    base = rng.normal(size=(3000, 2)) @ np.array([[1.0, 0.4], [0.0, 0.7]]) + [3, 5]
+    groups = {"far": base.copy(), "near": base.copy(), "slanted": rng.normal(size=(3000, 2)) @ np.array([[5.0, 5.0], [0.1, -0.1]])}
+    groups["far"][:300] = rng.normal(size=(300, 2)) * 0.1 + [30, 5]
+    groups["near"][:600] = rng.normal(size=(600, 2)) * 0.3 + [6, 1]
+    groups["slanted"][:700] = rng.normal(size=(700, 2)) * 0.2 + [8, -8]
+    rows = [(k, *map(float, r)) for k, x in groups.items() for r in x] + [("few", 1.0, 1.0)] * 5 + [("same", 2.0, 2.0)] * 200
+    found = quality.estimates(spark.createDataFrame(rows, "key string, size double, symbols double"), names).collect()
+    assert sorted(r.key for r in found) == ["far", "near", "same", "slanted"]
+    for r in found:
+        if r.key == "same":
+            assert r.centre == [2.0, 2.0] and np.array(r.inverse).reshape(2, 2) == pytest.approx(np.diag([1 / quality.SPREADS[n] ** 2 for n in names]))
+            continue
+        plain = plain_estimates(groups[r.key], names)
+        c, inverse, least = min(plain, key=lambda e: e[2])
+        # no start would have ended lower
+        assert r.logdet == pytest.approx(least, abs=0.02)
+        assert r.centre == pytest.approx(c, abs=0.08)
+        assert np.array(r.inverse).reshape(2, 2) == pytest.approx(inverse, rel=0.1, abs=0.05)
+    assert abs({r.key: r for r in found}["far"].centre[0] - 3) < 0.2
 
 
 def test_kept_rows(spark):
