@@ -181,76 +181,82 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled:
     limit = chi_square_limit(1 - support, p)
     # the nearest part of a normal sample has too small a covariance, by this factor
     factor = support / chi_square_cdf(limit, p + 2)
-    schema = "key string, start int, centre array<double>, inverse array<double>, logdet double"
+    names = ["key", "start", "centre", "inverse", "root", "logdet"]
+    schema = "key string, start int, centre array<double>, inverse array<double>, root array<double>, logdet double"
 
-    def moments(n, sums, products) -> tuple[np.ndarray, np.ndarray]:
-        centre = np.array(sums) / n
-        upper = np.zeros((p, p))
-        upper[np.triu_indices(p)] = np.array(products) / n
+    def moments(row) -> tuple[np.ndarray, np.ndarray]:
+        centre = np.array(row.sums) / row.n
+        upper = np.zeros((len(centre), len(centre)))
+        upper[np.triu_indices(len(centre))] = np.array(row.products) / row.n
         return centre, upper + np.triu(upper, 1).T - np.outer(centre, centre)
 
     def estimate(key: str, start: int, centre: np.ndarray, covariance: np.ndarray) -> tuple:
         covariance = covariance + np.diag(np.square(spread))
-        return key, start, centre.tolist(), np.linalg.inv(covariance).ravel().tolist(), float(np.linalg.slogdet(covariance)[1])
+        inverse, logdet = np.linalg.inv(covariance), float(np.linalg.slogdet(covariance)[1])
+        # the distance is a sum of squares of the rows of this triangle
+        root = np.linalg.cholesky(inverse).T[np.triu_indices(p)]
+        return key, start, centre.tolist(), inverse.ravel().tolist(), root.tolist(), logdet
 
     def starts(frames):
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
-                q = np.array(list(map(list, row.quartiles)))
-                scale = np.maximum((q[:, 2] - q[:, 0]) / 1.349, spread)
-                bent = moments(row.n, row.bent_sums, row.bent_products)[1]
+                middle, scale = np.array(row.middle), np.array(row.scale)
+                centre, covariance = moments(row)
+                bent = covariance[p:, p:]
                 width = np.sqrt(np.maximum(np.diag(bent), 1e-12))
                 correlation = bent / np.outer(width, width)
                 np.fill_diagonal(correlation, 1.0)
                 out += [
-                    estimate(row.key, 0, q[:, 1], np.diag(np.square(scale))),
-                    estimate(row.key, 1, q[:, 1], correlation * np.outer(scale, scale)),
-                    estimate(row.key, 2, *moments(row.n, row.sums, row.products)),
+                    estimate(row.key, 0, middle, np.diag(np.square(scale))),
+                    estimate(row.key, 1, middle, correlation * np.outer(scale, scale)),
+                    estimate(row.key, 2, centre[:p], covariance[:p, :p]),
                 ]
-            yield pd.DataFrame(out, columns=["key", "start", "centre", "inverse", "logdet"])
+            yield pd.DataFrame(out, columns=names)
 
     def fitted(frames):
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
-                centre, covariance = moments(row.n, row.sums, row.products)
+                centre, covariance = moments(row)
                 out.append(estimate(row.key, row.start, centre, factor * covariance))
-            yield pd.DataFrame(out, columns=["key", "start", "centre", "inverse", "logdet"])
+            yield pd.DataFrame(out, columns=names)
 
-    def summed(values: list[Column], prefix: str = "") -> list[Column]:
-        products = [F.sum(values[i] * values[j]) for i in range(p) for j in range(i, p)]
-        return [F.array(*map(F.sum, values)).alias(f"{prefix}sums"), F.array(*products).alias(f"{prefix}products")]
-
-    columns = [F.col(c) for c in x]
-    count = F.count("*").alias("n")
     # one key holds all rows: they are dealt out by part as well, and meet again as partial sums
     parts = F.explode(F.array(*map(F.lit, range(PARTS)))).alias("part")
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*x), F.lit(PARTS)).cast("int"))
-
-    quartiles = F.array(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000) for c in x]).alias("quartiles")
-    plain = shared.keep(rows.groupBy("key").agg(count, quartiles, *summed(columns)).filter(F.col("n") >= LEAST_ROWS))
-    bends = []
-    for i, c in enumerate(columns):
-        low, middle, high = (F.col("quartiles")[i][k] for k in range(3))
-        bends.append(F.tanh((c - middle) / F.greatest((high - low) / 1.349, F.lit(float(spread[i])))).alias(x[i]))
-    bent = dealt.join(plain.select("key", "quartiles", parts), ["key", "part"]).select("key", *bends)
-    bent = bent.groupBy("key").agg(*summed(columns, "bent_"))
-    now = shared.keep(plain.join(bent, "key").mapInPandas(starts, schema))
+    dealt = shared.keep(rows.select("key", F.pmod(F.xxhash64(*x), F.lit(PARTS)).cast("int").alias("part"), *x))
+
+    quartiles = F.array(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000) for c in x]).alias("q")
+    ranged = dealt.groupBy("key").agg(F.count("*").alias("rows"), quartiles).filter(F.col("rows") >= LEAST_ROWS)
+    middle = F.array(*[F.col("q")[i][1] for i in range(p)]).alias("middle")
+    scale = [F.greatest((F.col("q")[i][2] - F.col("q")[i][0]) / 1.349, F.lit(float(spread[i]))) for i in range(p)]
+    plain = shared.keep(ranged.select("key", middle, F.array(*scale).alias("scale")))
+    flat = [F.col(c)[i].alias(f"{c}{i}") for c in ("middle", "scale") for i in range(p)]
+    bent = [F.tanh((F.col(x[i]) - F.col(f"middle{i}")) / F.col(f"scale{i}")).alias(f"bent{i}") for i in range(p)]
+    both = dealt.join(plain.select("key", parts, *flat), ["key", "part"]).select("key", F.lit(0).alias("start"), *x, *bent)
+    begun = _sums(both, [*x, *[f"bent{i}" for i in range(p)]]).drop("start")
+    now = shared.keep(plain.join(begun, "key").mapInPandas(starts, schema))
     shared.drop(plain)
 
     def step(here: DataFrame) -> DataFrame:
-        centres = here.select("key", "start", "centre", "inverse", parts)
-        distance = _distance(columns, F.col("centre"), F.col("inverse")).alias("distance")
-        measured = dealt.join(centres, ["key", "part"]).select("key", "start", "part", *x, distance)
+        flat = [F.col(c)[i].alias(f"{c}{i}") for c, n in (("centre", p), ("root", p * (p + 1) // 2)) for i in range(n)]
+        off = [F.col(c) - F.col(f"centre{i}") for i, c in enumerate(x)]
+        distance, at = F.lit(0.0), 0
+        for i in range(p):
+            side = F.lit(0.0)
+            for j in range(i, p):
+                side, at = side + off[j] * F.col(f"root{at}"), at + 1
+            distance = distance + side * side
+        centres = here.select("key", "start", parts, *flat)
+        measured = dealt.join(centres, ["key", "part"]).select("key", "start", "part", *x, distance.alias("distance"))
         near = measured.groupBy("key", "start").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
         inner = measured.join(near.select("key", "start", "reach", parts), ["key", "start", "part"]).filter("distance <= reach")
-        return inner.groupBy("key", "start").agg(count, *summed(columns)).mapInPandas(fitted, schema)
+        return _sums(inner, x).mapInPandas(fitted, schema)
 
     for _ in range(FIRST_STEPS):
         last, now = now, shared.keep(step(now))
         shared.drop(last)
-    last, found = now, F.struct("start", "centre", "inverse", "logdet")
+    last, found = now, F.struct(*names[1:])
     least = now.groupBy("key").agg(F.min_by(found, F.struct("logdet", "start")).alias("found"))
     now = shared.keep(least.select("key", "found.*", F.lit(False).alias("done")))
     shared.drop(last)
@@ -258,13 +264,51 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled:
         after = step(now.filter("not done")).select("key", found.alias("after"))
         lower = F.col("after.logdet") < F.col("logdet")
         going = F.coalesce(F.col("after.logdet") < F.col("logdet") - settled, F.lit(False))
-        both = now.join(after, "key", "left")
         chosen = F.when(lower, F.col("after")).otherwise(found).alias("found")
-        last, now = now, shared.keep(both.select("key", chosen, (~going).alias("done")).select("key", "found.*", "done"))
+        both = now.join(after, "key", "left").select("key", chosen, (~going).alias("done"))
+        last, now = now, shared.keep(both.select("key", "found.*", "done"))
         shared.drop(last)
+    shared.drop(dealt)
     return now.select("key", "centre", "inverse", "logdet")
 
 
+def _sums(rows: DataFrame, x: list[str]) -> DataFrame:
+    """``key, start, n, sums, products`` of ``rows (key, start, *x)``; each batch is summed where it lies."""
+    p = len(x)
+    pairs = np.triu_indices(p)
+    fields = [f"m{i}" for i in range(p + len(pairs[0]))]
+
+    def work(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key").dictionary_encode()
+            start = batch.column("start").to_numpy()
+            group = keys.indices.to_numpy().astype(np.int64) * 8 + start
+            values = np.column_stack([batch.column(c).to_numpy() for c in x])
+            order = np.argsort(group, kind="stable")
+            edges = np.flatnonzero(np.diff(group[order], prepend=-1))
+            out = []
+            for a, b in zip(edges, [*edges[1:], len(order)]):
+                some = values[order[a:b]]
+                out.append(np.concatenate([some.sum(0), (some.T @ some)[pairs]]))
+            first = order[edges]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys.dictionary.take(keys.indices.take(pa.array(first))),
+                    pa.array(start[first], pa.int32()),
+                    pa.array(np.diff([*edges, len(order)]), pa.int64()),
+                    *[pa.array(c) for c in np.array(out).T],
+                ],
+                names=["key", "start", "n", *fields],
+            )
+
+    schema = ", ".join(["key string, start int, n long", *[f"{f} double" for f in fields]])
+    partial = rows.select("key", "start", *x).mapInArrow(work, schema)
+    sums, products = (F.array(*map(F.sum, some)) for some in (fields[:p], fields[p:]))
+    return partial.groupBy("key", "start").agg(F.sum("n").alias("n"), sums.alias("sums"), products.alias("products"))
+
+
 def _verdicts(counted: DataFrame, sample: DataFrame, names: dict[str, str], lang: str, source: str, beyond: float):
     """Verdicts for ``counted`` by estimates over ``sample``, the same rows in a cheaper form."""
     values = statistics(names)
