@@ -37,8 +37,8 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 SUPPORT, LEAST_ROWS = 0.75, 100
 #: Steps taken from every start, and the least fall of the log determinant that asks for one more.
 FIRST_STEPS, SETTLED = 2, 1e-3
-#: Parts into which the rows of one estimate are dealt.
-PARTS = 64
+#: Parts into which the rows of one estimate are dealt, and tasks that work on the estimates, one row each.
+PARTS, FEW = 64, 8
 #: Chance of a normal vector beyond the limit: one sound document in a million is given up.
 BEYOND = 1e-6
 #: Least spread of each statistic: differences below are never remarkable.
@@ -230,12 +230,12 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled:
     ranged = dealt.groupBy("key").agg(F.count("*").alias("rows"), quartiles).filter(F.col("rows") >= LEAST_ROWS)
     middle = F.array(*[F.col("q")[i][1] for i in range(p)]).alias("middle")
     scale = [F.greatest((F.col("q")[i][2] - F.col("q")[i][0]) / 1.349, F.lit(float(spread[i]))) for i in range(p)]
-    plain = shared.keep(ranged.select("key", middle, F.array(*scale).alias("scale")))
+    plain = shared.keep(ranged.select("key", middle, F.array(*scale).alias("scale")).coalesce(FEW))
     flat = [F.col(c)[i].alias(f"{c}{i}") for c in ("middle", "scale") for i in range(p)]
     bent = [F.tanh((F.col(x[i]) - F.col(f"middle{i}")) / F.col(f"scale{i}")).alias(f"bent{i}") for i in range(p)]
     both = dealt.join(plain.select("key", parts, *flat), ["key", "part"]).select("key", F.lit(0).alias("start"), *x, *bent)
     begun = _sums(both, [*x, *[f"bent{i}" for i in range(p)]]).drop("start")
-    now = shared.keep(plain.join(begun, "key").mapInPandas(starts, schema))
+    now = shared.keep(plain.join(begun, "key").coalesce(FEW).mapInPandas(starts, schema))
     shared.drop(plain)
 
     def step(here: DataFrame) -> DataFrame:
@@ -251,14 +251,14 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled:
         measured = dealt.join(centres, ["key", "part"]).select("key", "start", "part", *x, distance.alias("distance"))
         near = measured.groupBy("key", "start").agg(F.percentile_approx("distance", support, 2000).alias("reach"))
         inner = measured.join(near.select("key", "start", "reach", parts), ["key", "start", "part"]).filter("distance <= reach")
-        return _sums(inner, x).mapInPandas(fitted, schema)
+        return _sums(inner, x).coalesce(FEW).mapInPandas(fitted, schema)
 
     for _ in range(FIRST_STEPS):
         last, now = now, shared.keep(step(now))
         shared.drop(last)
     last, found = now, F.struct(*names[1:])
     least = now.groupBy("key").agg(F.min_by(found, F.struct("logdet", "start")).alias("found"))
-    now = shared.keep(least.select("key", "found.*", F.lit(False).alias("done")))
+    now = shared.keep(least.select("key", "found.*", F.lit(False).alias("done")).coalesce(FEW))
     shared.drop(last)
     while not now.filter("not done").isEmpty():
         after = step(now.filter("not done")).select("key", found.alias("after"))
@@ -266,7 +266,7 @@ def estimates(rows: DataFrame, x: list[str], support: float = SUPPORT, settled:
         going = F.coalesce(F.col("after.logdet") < F.col("logdet") - settled, F.lit(False))
         chosen = F.when(lower, F.col("after")).otherwise(found).alias("found")
         both = now.join(after, "key", "left").select("key", chosen, (~going).alias("done"))
-        last, now = now, shared.keep(both.select("key", "found.*", "done"))
+        last, now = now, shared.keep(both.select("key", "found.*", "done").coalesce(FEW))
         shared.drop(last)
     shared.drop(dealt)
     return now.select("key", "centre", "inverse", "logdet")
