@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,15 +242,10 @@ def _income_updates(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.reconcile_income(reported, st.contracts(spark, d))
 
 
-def _reported_refunds(spark: SparkSession, d: str) -> DataFrame:
-    """The refund lines of the reports, written with the ledger's priority as line code.
-
-    One order in eleven goes by a contract number that the ledger does not know.
-    """
-    orders = st.table(spark, d, "orders")
-    unknown = F.when(F.col("o_orderkey") % 11 == 0, F.lit(7_000_000)).otherwise(F.lit(50000))
-    return orders.select(
-        (F.col("o_custkey") + unknown).cast("string").alias("nro_sit"),
+def _refund_lines(spark: SparkSession, d: str, number: Column) -> DataFrame:
+    """Refund lines of the reports by contract ``number``, written with the ledger's priority as line code."""
+    return st.table(spark, d, "orders").select(
+        number.alias("nro_sit"),
         F.col("o_orderpriority").alias("rubrica"),
         money.money(money.money(F.col("o_totalprice")) * F.lit("0.01").cast("decimal(3,2)")).alias("valor_estornado"),
         F.col("o_orderdate").alias("modified"),
@@ -258,10 +253,21 @@ def _reported_refunds(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _refund_updates(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.reconcile_lines(
-        _reported_refunds(spark, d), st.contracts(spark, d), st.lines(spark, d), order=("modified", "row_no")
-    )
+def _reported_refunds(spark: SparkSession, d: str) -> DataFrame:
+    """Every order's refund line; one in eleven comes once more, by a number that the ledger does not know."""
+    number = (F.col("o_custkey") + F.lit(50000)).cast("string")
+    twice = F.when(F.col("o_orderkey") % 11 == 0, F.array(number, F.concat(F.lit("X"), number)))
+    return _refund_lines(spark, d, F.explode(F.coalesce(twice, F.array(number))))
+
+
+def _known_refunds(spark: SparkSession, d: str) -> DataFrame:
+    """One order in eleven goes by a contract number that the ledger does not know, and by no other."""
+    unknown = F.when(F.col("o_orderkey") % 11 == 0, F.lit(7_000_000)).otherwise(F.lit(50000))
+    return _refund_lines(spark, d, (F.col("o_custkey") + unknown).cast("string"))
+
+
+def _refund_updates(spark: SparkSession, d: str, reported: DataFrame) -> DataFrame:
+    return reconcile.reconcile_lines(reported, st.contracts(spark, d), st.lines(spark, d), order=("modified", "row_no"))
 
 
 @_query
@@ -271,7 +277,7 @@ def reconcile_income(spark, d):
 
 @_query
 def reconcile_lines(spark, d):
-    return _refund_updates(spark, d)
+    return _refund_updates(spark, d, _reported_refunds(spark, d))
 
 
 @_query
@@ -283,7 +289,7 @@ def apply_income(spark, d):
 
 @_query
 def apply_refunds(spark, d):
-    return apply.apply_refunds(st.lines(spark, d), _refund_updates(spark, d)).select(
+    return apply.apply_refunds(st.lines(spark, d), _refund_updates(spark, d, _known_refunds(spark, d))).select(
         "id_termo_rubrica", "saldo_inicial_previsto", "valor_estornado"
     )
 
@@ -292,7 +298,7 @@ def apply_refunds(spark, d):
 def run_preview(spark, d):
     """First rows and totals of the three change sets of a run."""
     return changes.preview_run(
-        _changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d)
+        _changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d, _known_refunds(spark, d))
     )
 
 
@@ -300,7 +306,7 @@ def run_preview(spark, d):
 def full_run_contracts(spark, d):
     """Contracts at the end of a run: changes found, applied, lines and contracts refreshed."""
     state = full_run.Ledger(st.stored_expenses(spark, d), st.contracts(spark, d), st.lines(spark, d))
-    found = full_run.ChangeSets(_changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d))
+    found = full_run.ChangeSets(_changes(spark, d), _income_updates(spark, d), _refund_updates(spark, d, _known_refunds(spark, d)))
     return full_run.refresh(full_run.apply_changes(state, found), st.AS_OF).contracts.select(
         "id_termo",
         "data_atual",

@@ -8,6 +8,7 @@ from conftest import D
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from grantloom import catalog
 from grantloom import settings as S
 from grantloom.operators import apply, changes, checks, dedup, reconcile, skew
 from grantloom.operators.once import compute_once
@@ -153,6 +154,23 @@ def test_reconcile_and_apply_refunds(spark):
     assert after == {"11-3.1": D("2.50"), "11-3.2": D("1.00"), "12-3.1": None, "101-3.1": D("9.00")}
 
 
+def orders_of(spark, folder):
+    """Two orders of one line, the later with a key divisible by eleven, and their customer."""
+    spark.createDataFrame(
+        [(1, 7, "F", 100.0, dt.datetime(1995, 1, 1), "1-URGENT"), (22, 7, "F", 900.0, dt.datetime(1996, 1, 1), "1-URGENT")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(
+        [(7, "C", 3, 10.0, "BUILDING")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ).write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def test_every_order_is_reported_to_reconcile_lines(spark, tmp_path):
+    updates = catalog.QUERIES["reconcile_lines"](spark, orders_of(spark, tmp_path)).collect()
+    assert [tuple(r) for r in updates] == [("7-1-URGENT", D("9.00"))]
+
+
 # --- de-duplication -------------------------------------------------------------------
 
 
