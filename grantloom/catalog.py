@@ -289,7 +289,7 @@ def apply_income(spark, d):
 
 @_query
 def apply_refunds(spark, d):
-    return apply.apply_refunds(st.lines(spark, d), _refund_updates(spark, d, _known_refunds(spark, d))).select(
+    return apply.apply_refunds(st.lines(spark, d), _refund_updates(spark, d, _reported_refunds(spark, d))).select(
         "id_termo_rubrica", "saldo_inicial_previsto", "valor_estornado"
     )
 

@@ -171,6 +171,11 @@ def test_every_order_is_reported_to_reconcile_lines(spark, tmp_path):
     assert [tuple(r) for r in updates] == [("7-1-URGENT", D("9.00"))]
 
 
+def test_every_order_is_reported_to_apply_refunds(spark, tmp_path):
+    after = catalog.QUERIES["apply_refunds"](spark, orders_of(spark, tmp_path)).collect()
+    assert [(r["id_termo_rubrica"], r["valor_estornado"]) for r in after] == [("7-1-URGENT", D("9.00"))]
+
+
 # --- de-duplication -------------------------------------------------------------------
 
 
