@@ -12,6 +12,9 @@ A query starts at a node and keeps a beam of the nearest nodes seen. Every hop l
 neighbours of all nodes of the beam not yet looked at, for all queries at once, until nothing
 is left to look at: every node is met once by a query, so this ends. Distances are Euclidean, in double precision.
 
+A round and a hop are few shuffles each, however many came before, so that many small partitions
+do not cost more than the work.
+
 Vectors that are null, zero, hold nulls or non-finite components, or differ from the most
 common length take no part, neither do rows without an id. Rows that repeat an id count once
 (the least vector). Of equally near rows the smaller id comes first. Fewer candidates than
@@ -154,8 +157,20 @@ def _first_graph(nodes: DataFrame, degree: int, orders: int, run: int) -> DataFr
     return _graph_of(found, degree)
 
 
-def _graph_of(edges: DataFrame, degree: int) -> DataFrame:
-    return _top(edges.groupBy("u", "v").agg(F.min("d").alias("d")), "u", degree, "d", "v")
+def _graph_of(edges: DataFrame, degree: int, last: DataFrame | None = None) -> DataFrame:
+    """``u, v, d`` of the nearest ``degree`` of each node, from ``edges`` and those of ``last``.
+
+    ``new``: not in ``last``; ``at``: place in the node's list; ``reach``: how near a newcomer must
+    be, nearer than the last neighbour if the list is full. All is done where a node's edges meet.
+    """
+    every = edges.select("u", "v", "d", F.lit(True).alias("new"))
+    if last is not None:
+        every = every.unionByName(last.select("u", "v", "d", F.lit(False).alias("new")))
+    merged = every.repartition("u").groupBy("u", "v").agg(F.min("d").alias("d"), F.bool_and("new").alias("new"))
+    lists = Window.partitionBy("u")
+    short = merged.withColumn("at", F.row_number().over(lists.orderBy("d", "v"))).filter(F.col("at") <= degree)
+    reach = F.when(F.count("*").over(lists) >= degree, F.max("d").over(lists)).otherwise(float("inf"))
+    return short.withColumn("reach", reach)
 
 
 def build_graph(
@@ -164,54 +179,57 @@ def build_graph(
     """``u, v, d``: about the ``degree`` nearest nodes of each of ``nodes (node, vector)``."""
     graph = shared.keep(_first_graph(nodes, degree, orders, run))
     while True:
-        listed = _top(graph.select(F.col("v").alias("centre"), F.col("u").alias("node"), "d"), "centre", reverse, "d", "node").drop("d")
-        around = graph.select(F.col("u").alias("centre"), F.col("v").alias("node")).unionByName(listed)
-        around = around.unionByName(graph.select(F.col("u").alias("centre"), F.col("u").alias("node")).distinct()).distinct()
-        # how near a newcomer must be: nearer than a node's last neighbour, if its list is full
-        reach = graph.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("reach"))
-        known = nodes.join(reach.withColumnRenamed("u", "node"), "node", "left").fillna({"reach": float("inf")})
+        one = graph.filter("at = 1")
+        # of each centre: itself, its neighbours, and the nearest of those that list it
+        sides = (one.withColumn("d", F.lit(0.0)), "u", "u"), (graph, "u", "v"), (graph, "v", "u")
+        met = [t.select(F.col(a).alias("centre"), F.col(b).alias("node"), "d", F.lit(i).alias("side")) for i, (t, a, b) in enumerate(sides)]
+        listed = _top(met[0].unionByName(met[1]).unionByName(met[2]), "centre", 1 + degree + reverse, "side", "d", "node")
+        around = listed.select("centre", "node").distinct()
+        known = nodes.join(one.select(F.col("u").alias("node"), "reach"), "node", "left").fillna({"reach": float("inf")})
         sent = around.join(known, "node").repartition("centre").sortWithinPartitions("centre", "node")
         offered = sent.mapInArrow(lambda batches: _compare(_groups(batches, "centre"), degree), _EDGE)
-        last, graph = graph, shared.keep(_graph_of(offered.unionByName(graph), degree))
-        replaced = graph.join(last, ["u", "v"], "left_anti").count()
+        last, graph = graph, shared.keep(_graph_of(offered, degree, graph))
         shared.drop(last)
+        replaced, all_edges = graph.agg(F.count_if("new"), F.count("*")).first()
         # lists only ever get nearer, so a settled graph replaces nothing
-        if replaced <= settled * graph.count():
+        if replaced <= settled * all_edges:
             return graph
 
 
 def _measure(pairs: DataFrame) -> DataFrame:
-    """``q, node, d`` for rows with the vectors ``a`` and ``b``."""
+    """``q, node, d, nexts`` for rows with the vectors ``a`` and ``b``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = _matrix(batch.column("a")), _matrix(batch.column("b"))
                 d = pa.array(np.sqrt(np.square(a - b).sum(axis=1)))
-                yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), d], names=["q", "node", "d"])
+                columns = [batch.column("q"), batch.column("node"), d, batch.column("nexts")]
+                yield pa.RecordBatch.from_arrays(columns, names=["q", "node", "d", "nexts"])
 
-    return pairs.select("q", "node", "a", "b").mapInArrow(run, "q long, node long, d double")
+    return pairs.select("q", "node", "a", "b", "nexts").mapInArrow(run, "q long, node long, d double, nexts array<long>")
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
     """``q, node, d``: the nearest ``beam`` nodes found for each of ``queries (q, vector, start)``."""
-    near = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
+    nexts = graph.groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("nexts"))
+    # a node's neighbours are fetched with its vector
+    places = shared.keep(nodes.select("node", F.col("vector").alias("b")).join(nexts, "node", "left"))
     asked = queries.select("q", F.col("vector").alias("a"))
 
     def measured(pairs: DataFrame) -> DataFrame:
-        return _measure(pairs.join(asked, "q").join(nodes.select("node", F.col("vector").alias("b")), "node"))
+        return _measure(pairs.join(places, "node").join(asked, "q"))
 
     start = shared.keep(measured(queries.select("q", F.col("start").alias("node"))))
-    met, best = [start], start.withColumn("looked", F.lit(False))
+    met, best = start.select("q", "node", F.lit(True).alias("met")), start.withColumn("looked", F.lit(False))
     while True:
-        ahead = best.filter(~F.col("looked")).select("q", "node")
-        reached = ahead.join(near, "node").select("q", F.col("next").alias("node")).distinct()
-        for part in met:
-            reached = reached.join(part.select("q", "node"), ["q", "node"], "left_anti")
-        new = shared.keep(measured(reached))
+        ahead = best.filter(~F.col("looked")).select("q", F.explode("nexts").alias("node"), F.lit(False).alias("met"))
+        # one shuffle makes them distinct and leaves out those met at any earlier hop
+        reached = ahead.unionByName(met).groupBy("q", "node").agg(F.bool_or("met").alias("met")).filter(~F.col("met"))
+        new = shared.keep(measured(reached.select("q", "node")))
         if new.isEmpty():
             break
-        met.append(new)
+        met = met.unionByName(new.select("q", "node", F.lit(True).alias("met")))
         both = best.withColumn("looked", F.lit(True)).unionByName(new.withColumn("looked", F.lit(False)))
         best = shared.keep(_top(both, "q", beam, "d", "node"))
     return best.select("q", "node", "d")

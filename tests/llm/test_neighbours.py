@@ -61,3 +61,20 @@ def test_search_until_nothing_is_open(spark):
     query = spark.createDataFrame([(0, [float(n), 1.0], 0)], "q long, vector array<double>, start long")
     found = neighbours.search(graph, nodes, query, beam=3).collect()
     assert {r.node for r in found} == {n - 1, n - 2, n - 3}
+
+
+def test_a_late_hop_joins_no_more_than_an_early_one(spark, monkeypatch):
+    """What is kept reads the nodes once, however many hops came before."""
+    joins, keep = [], neighbours.shared.keep
+
+    def counted(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return keep(df)
+
+    monkeypatch.setattr(neighbours.shared, "keep", counted)
+    n = 6
+    nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "node long, vector array<double>")
+    graph = spark.createDataFrame([(i, i + 1, 1.0) for i in range(n - 1)], "u long, v long, d double")
+    query = spark.createDataFrame([(0, [float(n), 1.0], 0)], "q long, vector array<double>, start long")
+    neighbours.search(graph, nodes, query, beam=3).collect()
+    assert len(joins) > n and max(joins) <= 2
