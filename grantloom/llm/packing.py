@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from . import pretokens, texts
+from . import pretokens, shared, texts
 
 WINDOW = 2048
 END_ID = 1
@@ -44,6 +44,8 @@ END_ID = 1
 SENTENCE_PENALTY, INNER_PENALTY = 2.0, 24.0
 #: Shorter windows are not made just because they need no padding.
 LEAST = 128
+#: Bytes of whole rows that are split into words at once, and words that a worker's table holds.
+ROWS_BYTES, TABLE_WORDS = 1 << 20, 400_000
 #: Tokens that are planned at once; windows of a block that the next one plans again.
 BLOCK, HANDED_ON = 1 << 20, 4
 
@@ -64,9 +66,8 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-@lru_cache(2)
 def loaded(path: str) -> pretokens.WordIds:
-    """Word table of a tokenizer file, once per Python worker."""
+    """Word table of a tokenizer file."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -78,7 +79,12 @@ def loaded(path: str) -> pretokens.WordIds:
     def encode(words: list[bytes]) -> list[list[int]]:
         return [[t.id for t in tokenize(w.decode("latin-1").translate(table))] for w in words]
 
-    return pretokens.WordIds(encode)
+    return pretokens.WordIds(encode, TABLE_WORDS)
+
+
+def word_table(path: str) -> pretokens.WordIds:
+    """:func:`loaded`, kept by the worker until another stage's table takes its place."""
+    return shared.one_table(("words", path), lambda: loaded(path))
 
 
 @lru_cache(2)
@@ -243,7 +249,7 @@ def pack(
     schema = T.StructType([T.StructField(doc_id, kind), *(T.StructField(n, T.LongType()) for n, _ in PIECES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = loaded(path)
+        words = word_table(path)
         special = added_tokens(path) if added else (None, {})
         packer = Packer(window, sentence_penalty, inner_penalty, block, TaskContext.get().partitionId() << 40)
         id_type = pa.int64()
@@ -268,7 +274,7 @@ def _tokens(
 ) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
     """Row, ids, and ids before each sentence, of every text of a batch."""
     raw, offsets = texts.buffers(batch.column(text))
-    for a, b in texts.row_slices(offsets):
+    for a, b in texts.row_slices(offsets, ROWS_BYTES):
         parts: list[list[np.ndarray]] = [[] for _ in range(b - a)]
         breaks: list[list[np.ndarray]] = [[] for _ in range(b - a)]
         size = [0] * (b - a)

@@ -1,8 +1,10 @@
-"""Intermediate tables in the folder that ``spark.checkpoint.dir`` names."""
+"""Intermediate tables in the folder that ``spark.checkpoint.dir`` names, and what Python workers keep."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,17 @@ def drop(*frames: DataFrame) -> None:
                 path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{file[at + 1 :].split('/')[0]}")
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
                 break
+
+
+_table: dict[Hashable, Any] = {}
+
+
+def one_table(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept by this Python worker until another key is asked for.
+
+    Workers outlive stages; with a table for each stage their memory would add up.
+    """
+    if key not in _table:
+        _table.clear()
+        _table[key] = make()
+    return _table[key]

@@ -26,7 +26,6 @@ import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import texts
+from . import shared, texts
 
 #: Most labelled documents learned from, and the longest of them in characters.
 TOXIC, ORDINARY, LONGEST = 1500, 4500, 20_000
@@ -106,14 +105,9 @@ class Windows:
         return ((sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)).tolist()
 
 
-@lru_cache(1)
-def _windows(name: str, toxic: bytes, ordinary: bytes, frame: bytes) -> Windows:
-    return Windows(Model(toxic, ordinary, frame, 0.0))
-
-
 def windows_of(model: Model) -> Windows:
-    """The coders of a model, once per Python worker."""
-    return _windows(model.name, model.toxic, model.ordinary, model.frame)
+    """The coders of a model, kept by the worker until another stage's table takes its place."""
+    return shared.one_table(("windows", model.name), lambda: Windows(model))
 
 
 def score(share: float, limit: float) -> float:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
@@ -12,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from grantloom.llm import bpe, packing, pretokens
+from grantloom.llm import bpe, packing, pretokens, toxicity
 
 from .helpers import ODD, PROSE, clash, doc_rows, docs
 
@@ -196,3 +198,22 @@ def test_a_long_word_takes_little_memory():
     tracemalloc.stop()
     assert list(ids[:1000]) == EXACT.encode_ordinary(word[:20_000])[:1000]
     assert "".join(EXACT.decode([*ids])) == word and peak < 25_000_000
+
+
+def test_a_worker_keeps_one_stage_s_table():
+    model = toxicity.Model(b"bad word", b"good word", b"frame", 1.0)
+    words = packing.word_table(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.word_table(public_tokenizers.path("byte_bpe_50k.json")) is words
+    assert toxicity.windows_of(model) is toxicity.windows_of(model)
+    freed = weakref.ref(words)
+    del words
+    gc.collect()
+    assert freed() is None
+
+
+def test_class_table_takes_little_memory():
+    tracemalloc.start()
+    pretokens.classes.__wrapped__()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6
