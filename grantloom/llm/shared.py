@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Hashable
 from typing import Any
@@ -39,6 +40,12 @@ def drop(*frames: DataFrame) -> None:
                 break
 
 
+def sweep(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of plans that are gone; else they stay until the driver needs memory."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _table: dict[Hashable, Any] = {}
 
 

@@ -78,3 +78,43 @@ def test_a_late_hop_joins_no_more_than_an_early_one(spark, monkeypatch):
     query = spark.createDataFrame([(0, [float(n), 1.0], 0)], "q long, vector array<double>, start long")
     neighbours.search(graph, nodes, query, beam=3).collect()
     assert len(joins) > n and max(joins) <= 2
+
+
+def test_rows_kept_are_parts_and_not_edges(spark, monkeypatch):
+    """No step keeps a row for each edge, however many tasks there are; the graph is near the exact one."""
+    rows, keep, n = [], neighbours.shared.keep, 700
+
+    def counted(df):
+        kept = keep(df)
+        rows.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(neighbours.shared, "keep", counted)
+    x = np.random.default_rng(3).normal(size=(n, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        nodes = neighbours.usable(df).withColumnRenamed("vec_id", "node")
+        graph = neighbours.build_graph(nodes)
+        # -(-n // 256) runs, whatever the number of tasks
+        assert graph.count() <= 2 * -(-n // 256)
+        near = {}
+        for u, v, d in neighbours.edges(graph).collect():
+            near.setdefault(u, {})[v] = d
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(rows) <= n
+    assert all(len(v) == neighbours.DEGREE and u not in v for u, v in near.items()) and len(near) == n
+    far = np.sqrt(np.square(x[:, None].astype(float) - x[None]).sum(axis=2))
+    hits = sum(len(near[u].keys() & set(np.argsort(far[u])[1 : neighbours.DEGREE + 1].tolist())) for u in range(n))
+    assert hits / (n * neighbours.DEGREE) > 0.95
+    assert all(d == pytest.approx(far[u, v], abs=1e-6) for u, found in near.items() for v, d in found.items())
+
+
+def test_large_and_negative_ids(spark):
+    """What numbers the nodes is not their ids."""
+    ids = [-(2**62), -5, 0, 7, 2**62]
+    rows = [(i, [1.0, float(at)], 0) for at, i in enumerate(ids)]
+    got = answers(spark.createDataFrame(rows, SCHEMA), F.col("vec_id").isNotNull())
+    assert got == exact(rows, ids)
